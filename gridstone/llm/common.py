@@ -11,6 +11,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,3 +166,77 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     np.add.at(d, starts, 1)
     np.add.at(d, ends, -1)
     return np.cumsum(d[:-1]) > 0
+
+
+# --- packed exchanges ---------------------------------------------------------------------------------------------
+
+
+def slices(batches, text: str = "text", most: int = 4 << 20):
+    """The rows of an iterator of record batches, in pieces of about ``most`` bytes of text, which bounds a task's arrays."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), np.int64)
+        piece = np.concatenate([[0], np.cumsum(lengths + 64)[:-1]]) // most
+        at = np.concatenate([group_starts(piece), [n]])
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield batch.slice(int(a), int(b - a))
+
+
+def squeezed(a: np.ndarray) -> bytes:
+    """An array, compressed; sorted integers become small as they are kept as differences."""
+    import zstandard
+
+    if a.dtype.kind == "i":
+        a = np.diff(a, prepend=a.dtype.type(0))
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+
+
+def unsqueezed(data: bytes, dtype) -> np.ndarray:
+    import zstandard
+
+    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
+    return np.cumsum(a, dtype=dtype) if np.dtype(dtype).kind == "i" else a
+
+
+def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
+    return ((h >> U64(32)) * U64(n) >> U64(32)).astype(np.int32)
+
+
+def by_bucket(bucket: np.ndarray, n: int):
+    """(bucket, indices) of each bucket that occurs, indices in their order."""
+    order = np.argsort(bucket.astype(np.uint16) if n <= 65536 else bucket, kind="stable")
+    at = group_starts(bucket[order])
+    for a, b in zip(at, [*at[1:], len(order)], strict=True):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def column(t: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
+    return t.column(name).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(name).to_numpy()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and component (the smallest node reachable) for the nodes of edges (a, b), by large-star and small-star rounds.
+
+    Every round is two joins on a node and its minimum and is checkpointed; nothing is collected but a count and a checksum.
+    """
+    links = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+
+    def mark(e: DataFrame) -> tuple:
+        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        return r[0], r[1]
+
+    before = mark(links)
+    while True:
+        both = links.union(links.select("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).where("u <> v").distinct()
+        links = checkpointed(small)
+        after = mark(links)
+        if after == before:
+            break
+        before = after
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct())

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, quality_rules
+from . import chat_format, jaccard_join, line_dedup, quality_rules
 
 QUERIES = {
+    "op5_ngram_jaccard_join": jaccard_join.query,
     "op6_line_dedup": line_dedup.query,
     "op7_chat_formatting": chat_format.query,
     "op10_quality_rules": quality_rules.query,
