@@ -25,11 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; a temporary one where it names none, as in tests."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoints-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder that the session names, so that no lost executor makes it be computed again."""
+    """df, written to the shared folder, so that no lost executor makes it be computed again."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -38,10 +43,6 @@ def buckets(spark: SparkSession, each: int = 4) -> int:
     return each * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hashed_rows(df: DataFrame, n: int, *cols: str) -> DataFrame:
-    return df.repartition(n, *[F.col(c) for c in cols])
-
-
 # --- arrays -------------------------------------------------------------------------------------------------------
 
 

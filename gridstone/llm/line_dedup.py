@@ -85,10 +85,14 @@ def without_repeats(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """docs, with docs' columns, whose text has lost its repeated lines; no row goes."""
+def dedup_lines(docs: DataFrame, run: int = RUN_LINES, length_column: str | None = None) -> DataFrame:
+    """docs, with docs' columns, whose text has lost its repeated lines; no row goes. length_column is set to the new text's length."""
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), "doc_id", "text")
-    return without_repeats(packed, run).select(F.col("row_").withField("text", F.col("text")).alias("row_")).select("row_.*")
+    row = F.col("row_").withField("text", F.col("text"))
+    if length_column in docs.columns:
+        kept = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col(f"row_.{length_column}"))
+        row = row.withField(length_column, kept.cast(docs.schema[length_column].dataType))
+    return without_repeats(packed, run).select(row.alias("row_")).select("row_.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat_format, jaccard_join, line_dedup, quality_rules
+from . import best_fit, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules
 
 QUERIES = {
+    "op1_benchmark_decontamination": decontaminate.query,
     "op5_ngram_jaccard_join": jaccard_join.query,
     "op6_line_dedup": line_dedup.query,
     "op7_chat_formatting": chat_format.query,
+    "op8_best_fit_packing": best_fit.query,
     "op10_quality_rules": quality_rules.query,
 }
 
