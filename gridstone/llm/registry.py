@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import best_fit, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules
+from . import best_fit, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.query,
+    "op4_substring_dedup": substring_dedup.query,
     "op5_ngram_jaccard_join": jaccard_join.query,
     "op6_line_dedup": line_dedup.query,
     "op7_chat_formatting": chat_format.query,
     "op8_best_fit_packing": best_fit.query,
+    "op9_suffix_array_dedup": suffix_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
 
