@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import best_fit, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup
+from . import best_fit, chat_format, decontaminate, jaccard_join, lattice_lm, line_dedup, pseudonyms, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.query,
+    "op2_pii_pseudonyms": pseudonyms.query,
+    "op3_lm_scoring": lattice_lm.query,
     "op4_substring_dedup": substring_dedup.query,
     "op5_ngram_jaccard_join": jaccard_join.query,
     "op6_line_dedup": line_dedup.query,
