@@ -177,19 +177,24 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
         fits = (F.col("a") != F.col("b")) & (100 * small >= percent * large) & (possible * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
         return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    # the shingles of a shared passage have the same documents: one of them stands for all
+    alike = marks.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.hash("doc_id").cast("long")).alias("s")).where("m > 1")
+    marks = checkpointed(marks.join(alike.groupBy("m", "x", "s").agg(F.min("h").alias("h")).select("h"), "h", "left_semi"))
+
     first = marks.groupBy("h", "band").agg(F.min(F.struct(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"))).alias("f"), F.count(F.lit(1)).alias("m")).select("h", "band", "f.*")
     near = marks.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"))
     links = checkpointed(verified(passing(near.join(first, ["h", "band"])), sets, percent))
     found = checkpointed(components(links))
 
     # what is left: pairs between components that share a prefix shingle
-    placed = marks.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).select("h", "c", "doc_id", "n", "at")
+    placed = marks.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).select("h", "band", "c", "doc_id", "n", "at")
     several = placed.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("h")
     open_ = checkpointed(placed.join(several, "h", "left_semi"))
-    groups = open_.select("h", "c").distinct()
-    across = groups.select("h", F.col("c").alias("ca")).join(groups.select("h", F.col("c").alias("cb")), "h").where("ca < cb")
-    side = lambda s: open_.select("h", F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"))
-    rest = verified(passing(across.join(side("a"), ["h", "ca"]).join(side("b"), ["h", "cb"])), sets, percent)
+    groups = open_.select("h", "band", "c").distinct()
+    near = groups.select("h", F.col("band").alias("ba"), F.col("c").alias("ca"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb"))
+    across = near.join(groups.select("h", F.col("band").alias("bb"), F.col("c").alias("cb")), ["h", "bb"]).where("ca < cb")
+    side = lambda s: open_.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"))
+    rest = verified(passing(across.join(side("a"), ["h", "ba", "ca"]).join(side("b"), ["h", "bb", "cb"])), sets, percent)
     found = checkpointed(components(links.union(rest)))
 
     classed = sizes.join(classes, ["n", "sa", "sb"], "left").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
