@@ -6,12 +6,13 @@ their sets is at least the threshold. Steps:
 1. Documents with the same set form a class; a class goes on as its smallest doc_id.
 2. The number of documents of every shingle is counted over all documents, in packed buckets of hashes. A shingle of one document
    can't link it to anything, so only the others come back, ordered rare first; the lonely ones stand before them as a number.
-3. A document's prefix is so long that similar documents share a shingle of their prefixes. Prefixes are joined on their shingles.
-   Length (a similar set has at least 0.8 of the size), position (what can follow a shared shingle) and suffix (what a document has
-   left of shared shingles at all) discard pairs before any verification.
-4. Pairs are verified in two turns, each pair once: first each document with the first of its size class for each of its prefix
-   shingles, which is linear in the prefixes; then, between the components that these links make, every other pair of the join.
-   A pair within a component can't change it, so no group of near copies is spelled out as pairs.
+3. A document's prefix is so long that similar documents share a shingle of their prefixes. Prefixes are joined on their shingles;
+   of shingles with the same documents one is joined. Length (a similar set has at least 0.8 of the size), position (what can follow a
+   shared shingle) and suffix (how many shared shingles both have in each of 32 cells of the hashes, which bounds their overlap) discard pairs
+   before any verification.
+4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, in a few rounds, which are
+   linear in the prefixes; then, between the components that these links make, every other pair of the join. A pair within a component
+   can't change it, so no group of near copies is spelled out as pairs.
 5. Links within a component are counted in tiles of its classes, from their intersection sizes; a tile gives a number for each document.
 
 Shingles are compared by 64-bit hashes.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import BASE_B, U64, Texts, bucket_of, buckets, by_bucket, checkpointed, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
 
-WORDS, PERCENT, TILE = 5, 80, 256
+WORDS, PERCENT, TILE, CELLS, ROUNDS = 5, 80, 256, 32, 4
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +69,7 @@ def set_sizes(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
 
 def shared_shingles(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """doc_id and shared: the hashes of its shingles that other documents have too, the rarest first."""
+    """doc_id, shared (the hashes of its shingles that other documents have too, the rarest first) and cells (how many fall into each cell of the hashes)."""
     n = buckets(docs.sparkSession)
 
     def spread(batches):
@@ -106,11 +107,15 @@ def shared_shingles(docs: DataFrame, k: int = WORDS) -> DataFrame:
         once = group_starts(ids, h)
         ids, h = ids[once], h[once]
         at = group_starts(ids)
-        return pa.table([pa.array(ids[at]), pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(h.view(np.int64)))], ["doc_id", "shared"])
+        of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(ids))))
+        cells = np.bincount(of * CELLS + (h >> U64(20)).astype(np.int64) % CELLS, minlength=len(at) * CELLS).astype(np.int32)
+        ends = lambda n, each: pa.array(np.append(each, n), pa.int32())
+        shared = pa.ListArray.from_arrays(ends(len(ids), at), pa.array(h.view(np.int64)))
+        return pa.table([pa.array(ids[at]), shared, pa.ListArray.from_arrays(ends(len(cells), np.arange(len(at)) * CELLS), pa.array(cells))], ["doc_id", "shared", "cells"])
 
     packed = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(spread, "bucket int, ids binary, hashes binary")
     counted = packed.groupBy("bucket").applyInArrow(count, "bucket int, ids binary, hashes binary, df binary")
-    return counted.groupBy("bucket").applyInArrow(gather, "doc_id long, shared array<long>")
+    return counted.groupBy("bucket").applyInArrow(gather, "doc_id long, shared array<long>, cells array<int>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,34 +171,47 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
     reach = F.col("n") - ((F.col("n") * percent + 99) / 100).cast("int") + 1 - lonely
     marks = checkpointed(
         sets.where(reach > 0)
-        .select("doc_id", "n", lonely.alias("lonely"), F.posexplode(F.slice("shared", F.lit(1), reach.cast("int"))).alias("at", "h"))
-        .select("doc_id", F.col("n").cast("long").alias("n"), (F.col("at") + F.col("lonely")).alias("at"), "h", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int").alias("band"))
+        .select("doc_id", "n", "cells", lonely.alias("lonely"), F.posexplode(F.slice("shared", F.lit(1), reach.cast("int"))).alias("at", "h"))
+        .select("doc_id", "cells", F.col("n").cast("long").alias("n"), (F.col("at") + F.col("lonely")).alias("at"), "h", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int").alias("band"))
     )
 
     def passing(pairs: DataFrame) -> DataFrame:
         """The distinct pairs (a, b) that pass the length and positional filters."""
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
         possible = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 + F.least("pa", "pb")
-        fits = (F.col("a") != F.col("b")) & (100 * small >= percent * large) & (possible * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+        cells = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+        fits = (F.col("a") != F.col("b")) & (100 * small >= percent * large) & (possible * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & (cells * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
         return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     # the shingles of a shared passage have the same documents: one of them stands for all
     alike = marks.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.hash("doc_id").cast("long")).alias("s")).where("m > 1")
     marks = checkpointed(marks.join(alike.groupBy("m", "x", "s").agg(F.min("h").alias("h")).select("h"), "h", "left_semi"))
 
-    first = marks.groupBy("h", "band").agg(F.min(F.struct(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"))).alias("f"), F.count(F.lit(1)).alias("m")).select("h", "band", "f.*")
-    near = marks.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"))
-    links = checkpointed(verified(passing(near.join(first, ["h", "band"])), sets, percent))
-    found = checkpointed(components(links))
+    def placed(found: DataFrame | None) -> DataFrame:
+        if found is None:
+            return marks.withColumn("c", F.col("doc_id"))
+        return marks.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """The rows of shingles whose documents aren't in one component yet."""
+        several = rows.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("h")
+        return checkpointed(rows.join(several, "h", "left_semi"))
+
+    found, links, open_ = None, None, marks.withColumn("c", F.col("doc_id"))
+    for turn in range(ROUNDS):
+        one = F.min(F.struct((F.col("n") if turn == 0 else F.xxhash64(F.lit(turn), "doc_id")).alias("o"), F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("cells").alias("xb"), F.col("c").alias("cb")))
+        first = open_.groupBy("h", "band").agg(one.alias("f")).select("h", "band", "f.*").drop("o")
+        near = open_.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("cells").alias("xa"), F.col("c").alias("ca"))
+        new = verified(passing(near.join(first, ["h", "band"]).where("ca <> cb")), sets, percent)
+        links = checkpointed(new if links is None else links.union(new))
+        found = checkpointed(components(links))
+        open_ = still_open(placed(found))
 
     # what is left: pairs between components that share a prefix shingle
-    placed = marks.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).select("h", "band", "c", "doc_id", "n", "at")
-    several = placed.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("h")
-    open_ = checkpointed(placed.join(several, "h", "left_semi"))
     groups = open_.select("h", "band", "c").distinct()
     near = groups.select("h", F.col("band").alias("ba"), F.col("c").alias("ca"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb"))
     across = near.join(groups.select("h", F.col("band").alias("bb"), F.col("c").alias("cb")), ["h", "bb"]).where("ca < cb")
-    side = lambda s: open_.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"))
+    side = lambda s: open_.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"), F.col("cells").alias(f"x{s}"))
     rest = verified(passing(across.join(side("a"), ["h", "ba", "ca"]).join(side("b"), ["h", "bb", "cb"])), sets, percent)
     found = checkpointed(components(links.union(rest)))
 
