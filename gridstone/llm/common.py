@@ -174,6 +174,7 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 
 def slices(batches, text: str = "text", most: int = 4 << 20):
     """The rows of an iterator of record batches, in pieces of about ``most`` bytes of text, which bounds a task's arrays."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between slices
     for batch in batches:
         n = batch.num_rows
         if not n:

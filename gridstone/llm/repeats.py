@@ -174,7 +174,7 @@ def all_windows(docs: DataFrame, unit: Unit, most: int = 4 << 20) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(spread, PACKED)
 
 
-def candidate_runs(docs: DataFrame, unit: Unit, most: int = 2 << 20) -> DataFrame:
+def candidate_runs(docs: DataFrame, unit: Unit, most: int = 1 << 20) -> DataFrame:
     """doc_id, start, windows of the runs whose k-gram occurs at another place too; only they can hold a repeated window."""
     n = buckets(docs.sparkSession)
 
@@ -201,9 +201,9 @@ def candidate_runs(docs: DataFrame, unit: Unit, most: int = 2 << 20) -> DataFram
     return packed.groupBy("bucket").applyInArrow(several, "doc_id long, start long, windows long")
 
 
-def windows_in(docs: DataFrame, unit: Unit, most: int = 2 << 20) -> DataFrame:
+def windows_in(docs: DataFrame, unit: Unit, most: int = 1 << 20) -> DataFrame:
     """An exchange of the windows of docs that lie in its column runs (of start, windows)."""
-    n = buckets(docs.sparkSession)
+    n = buckets(docs.sparkSession, 8)
 
     def spread(batches):
         for b in slices(batches, most=most):
