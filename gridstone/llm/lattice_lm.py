@@ -201,7 +201,15 @@ def scored(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     pieces, scores, end = fitted(words, n_texts)
     words = checkpointed(scored_words(words, pieces, scores))
 
-    top = words.orderBy(F.col("c").desc(), "word").limit(hot_words).select("word", "c", "base", "score").toArrow()
+    # the least count that at most hot_words words reach, from a histogram of a few hundred steps: no task sees more than its part
+    step = F.floor(F.log(F.col("c")) / F.log(F.lit(1.05)))
+    least_count, total = None, 0
+    for low, m in sorted(words.where("c > 0").groupBy(step.alias("s")).agg(F.min("c").alias("low"), F.count(F.lit(1)).alias("m")).select("low", "m").collect(), reverse=True):
+        total += m
+        if total > hot_words:
+            break
+        least_count = low
+    top = words.where(F.lit(least_count is not None) & (F.col("c") >= (least_count or 0))).select("word", "c", "base", "score").toArrow()
     t = Texts(top.column("word")) if top.num_rows else Texts(pa.array([], pa.string()))
     h = range_hashes(prefix_sums(t.raw + U64(1), BASE_A), t.bounds[:-1], t.bounds[1:], BASE_A)
     order = np.argsort(h)
