@@ -11,8 +11,8 @@ their sets is at least the threshold. Steps:
    shared shingle) and suffix (how many shared shingles both have in each of 32 cells of the hashes, which bounds their overlap) discard pairs
    before any verification.
 4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, in a few rounds, which are
-   linear in the prefixes; then, between the components that these links make, every other pair of the join. A pair within a component
-   can't change it, so no group of near copies is spelled out as pairs.
+   linear in the prefixes; then, between the components that these links make, every other pair of the join, with the filters inside the
+   join, first for a component's documents together. A pair within a component can't change it, so no group of near copies is spelled out as pairs.
 5. Links within a component are counted in tiles of its classes, from their intersection sizes; a tile gives a number for each document.
 
 Shingles are compared by 64-bit hashes.
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BASE_B, U64, Texts, bucket_of, buckets, by_bucket, checkpointed, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
@@ -175,12 +175,16 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
         .select("doc_id", "cells", F.col("n").cast("long").alias("n"), (F.col("at") + F.col("lonely")).alias("at"), "h", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int").alias("band"))
     )
 
+    def overlap_fits(xa: str, xb: str, na: str, nb: str) -> Column:
+        """Whether the cells (or the largest of several documents' cells) allow the overlap that sets of these sizes (or the smallest of them) need."""
+        bound = F.aggregate(F.zip_with(xa, xb, lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+        return bound * (100 + percent) >= percent * (F.col(na) + F.col(nb))
+
     def passing(pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) that pass the length and positional filters."""
+        """The distinct pairs (a, b) that pass the length, positional and suffix filters."""
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
         possible = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 + F.least("pa", "pb")
-        cells = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-        fits = (F.col("a") != F.col("b")) & (100 * small >= percent * large) & (possible * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & (cells * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+        fits = (F.col("a") != F.col("b")) & (100 * small >= percent * large) & (possible * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & overlap_fits("xa", "xb", "na", "nb")
         return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     # the shingles of a shared passage have the same documents: one of them stands for all
@@ -207,12 +211,18 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
         found = checkpointed(components(links))
         open_ = still_open(placed(found))
 
-    # what is left: pairs between components that share a prefix shingle
-    groups = open_.select("h", "band", "c").distinct()
-    near = groups.select("h", F.col("band").alias("ba"), F.col("c").alias("ca"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb"))
-    across = near.join(groups.select("h", F.col("band").alias("bb"), F.col("c").alias("cb")), ["h", "bb"]).where("ca < cb")
+    # what is left: pairs between components that share a prefix shingle; a group is the documents of one component at one shingle and
+    # band, and its largest cells bound the overlap of each of them, so that the joins keep only groups that can hold a link
+    most = F.array(*(F.max(F.col("cells")[i]) for i in range(CELLS)))
+    groups = checkpointed(open_.groupBy("h", "band", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"), most.alias("most")))
+    named = lambda s, *more: [F.col("c").alias(f"c{s}"), F.col("low").alias(f"low{s}"), F.col("high").alias(f"high{s}"), F.col("most").alias(f"most{s}"), *more]
+    near = groups.select("h", F.col("band").alias("ba"), *named("a", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb")))
+    lengths = (100 * F.col("higha") >= percent * F.col("lowb")) & (100 * F.col("highb") >= percent * F.col("lowa"))
+    across = near.join(groups.select("h", F.col("band").alias("bb"), *named("b")), ["h", "bb"]).where((F.col("ca") < F.col("cb")) & lengths & overlap_fits("mosta", "mostb", "lowa", "lowb"))
+    across = across.select("h", "ba", "ca", "bb", "cb", "lowb", "highb", "mostb")
     side = lambda s: open_.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"), F.col("cells").alias(f"x{s}"))
-    rest = verified(passing(across.join(side("a"), ["h", "ba", "ca"]).join(side("b"), ["h", "bb", "cb"])), sets, percent)
+    ones = across.join(side("a"), ["h", "ba", "ca"]).where((100 * F.col("na") >= percent * F.col("lowb")) & (100 * F.col("highb") >= percent * F.col("na")) & overlap_fits("xa", "mostb", "na", "lowb"))
+    rest = verified(passing(ones.drop("lowb", "highb", "mostb").join(side("b"), ["h", "bb", "cb"])), sets, percent)
     found = checkpointed(components(links.union(rest)))
 
     classed = sizes.join(classes, ["n", "sa", "sb"], "left").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
