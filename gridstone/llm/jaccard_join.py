@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import BASE_B, U64, Texts, bucket_of, buckets, by_bucket, checkpointed, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
 
 WORDS, PERCENT, TILE, CELLS, ROUNDS = 5, 80, 256, 32, 4
+PER_BUCKET = 1 << 20  # shingles of a bucket, about
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,9 +69,12 @@ def set_sizes(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sa long, sb long")
 
 
-def shared_shingles(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """doc_id, shared (the hashes of its shingles that other documents have too, the rarest first) and cells (how many fall into each cell of the hashes)."""
-    n = buckets(docs.sparkSession)
+def shared_shingles(docs: DataFrame, total: int, k: int = WORDS) -> DataFrame:
+    """doc_id, shared (the hashes of its shingles that other documents have too, the rarest first) and cells (how many fall into each cell of the hashes).
+
+    Buckets are sized to ``total``, the shingles of all documents, as every bucket sends a piece to every other: many on a small table are only pieces.
+    """
+    n = max(1, min(buckets(docs.sparkSession), -(-total // PER_BUCKET)))
 
     def spread(batches):
         for b in slices(batches):
@@ -164,7 +168,8 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
     """doc_id, n_shingles, component_id and, if asked for, n_links of each row of docs."""
     sizes = checkpointed(set_sizes(docs, k))
     classes = sizes.where("n > 0 and doc_id is not null").groupBy("n", "sa", "sb").agg(F.min("doc_id").alias("class_id"), F.countDistinct("doc_id").alias("copies"))
-    sets = shared_shingles(docs, k).join(classes.select(F.col("class_id").alias("doc_id"), "n", "copies").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("copies").alias("copies")), "doc_id")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    sets = shared_shingles(docs, total, k).join(classes.select(F.col("class_id").alias("doc_id"), "n", "copies").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("copies").alias("copies")), "doc_id")
     # suffix filter: a document whose shared shingles can't reach the threshold links with no other class
     sets = checkpointed(sets.where(F.size("shared") * 100 >= percent * F.col("n")))
     lonely = F.col("n") - F.size("shared")
