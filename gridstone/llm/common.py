@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # since Spark 4.1
 #: Odd multipliers for polynomial hashes modulo 2**64 (fixed values).
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
@@ -31,11 +32,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder, so that no lost executor makes it be computed again."""
-    context = df.sparkSession.sparkContext
+    """df, written to the shared folder, so that no lost executor makes it be computed again.
+
+    Its shuffle files go once it is written, as nothing reads them again; else they stay until the driver collects garbage.
+    """
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own: df's shuffles, if it has run before, stay
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def buckets(spark: SparkSession, each: int = 4) -> int:
