@@ -11,8 +11,9 @@ their sets is at least the threshold. Steps:
    shared shingle) and suffix (how many shared shingles both have in each of 32 cells of the hashes, which bounds their overlap) discard pairs
    before any verification.
 4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, in a few rounds, which are
-   linear in the prefixes; then, between the components that these links make, every other pair of the join, with the filters inside the
-   join, first for a component's documents together. A pair within a component can't change it, so no group of near copies is spelled out as pairs.
+   linear in the prefixes; then, between the components that these links make, one pair for each two groups (a component's documents at
+   a shingle) that can hold a link, in a few rounds; then every other pair of the join between components, with the filters inside the
+   join, first for a group's documents together. A pair within a component can't change it, so no group of near copies is spelled out as pairs.
 5. Links within a component are counted in tiles of its classes, from their intersection sizes; a tile gives a number for each document.
 
 Shingles are compared by 64-bit hashes.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import BASE_B, U64, Texts, bucket_of, buckets, by_bucket, checkpointed, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
 
-WORDS, PERCENT, TILE, CELLS, ROUNDS = 5, 80, 256, 32, 4
+WORDS, PERCENT, TILE, CELLS, ROUNDS, GROUP_ROUNDS = 5, 80, 256, 32, 3, 3
 PER_BUCKET = 1 << 20  # shingles of a bucket, about
 
 
@@ -219,12 +220,24 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, cou
     # what is left: pairs between components that share a prefix shingle; a group is the documents of one component at one shingle and
     # band, and its largest cells bound the overlap of each of them, so that the joins keep only groups that can hold a link
     most = F.array(*(F.max(F.col("cells")[i]) for i in range(CELLS)))
-    groups = checkpointed(open_.groupBy("h", "band", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"), most.alias("most")))
-    named = lambda s, *more: [F.col("c").alias(f"c{s}"), F.col("low").alias(f"low{s}"), F.col("high").alias(f"high{s}"), F.col("most").alias(f"most{s}"), *more]
-    near = groups.select("h", F.col("band").alias("ba"), *named("a", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb")))
     lengths = (100 * F.col("higha") >= percent * F.col("lowb")) & (100 * F.col("highb") >= percent * F.col("lowa"))
-    across = near.join(groups.select("h", F.col("band").alias("bb"), *named("b")), ["h", "bb"]).where((F.col("ca") < F.col("cb")) & lengths & overlap_fits("mosta", "mostb", "lowa", "lowb"))
-    across = across.select("h", "ba", "ca", "bb", "cb", "lowb", "highb", "mostb")
+
+    def between(rows: DataFrame, turn: int) -> DataFrame:
+        """The pairs of groups at a shingle that can hold a link, each with one document of both: first the one with most shared shingles, later any."""
+        order = -F.aggregate("cells", F.lit(0), lambda t, x: t + x).cast("long") if turn == 0 else F.xxhash64(F.lit(turn), "h", "doc_id")
+        groups = checkpointed(rows.groupBy("h", "band", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"), most.alias("most"), F.min(F.struct(order.alias("o"), "doc_id", "n", "at", "cells")).alias("one")))
+        named = lambda s, *more: [F.col("c").alias(f"c{s}"), F.col("low").alias(f"low{s}"), F.col("high").alias(f"high{s}"), F.col("most").alias(f"most{s}"), F.col("one").alias(f"one{s}"), *more]
+        near = groups.select("h", F.col("band").alias("ba"), *named("a", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("bb")))
+        return near.join(groups.select("h", F.col("band").alias("bb"), *named("b")), ["h", "bb"]).where((F.col("ca") < F.col("cb")) & lengths & overlap_fits("mosta", "mostb", "lowa", "lowb"))
+
+    # one pair for each two groups, in a few rounds: an outlier of a large component links with some of it, and one such link settles all their pairs
+    for turn in range(GROUP_ROUNDS):
+        one = lambda s: [F.col(f"one{s}.{x}").alias(y) for x, y in (("doc_id", s), ("n", f"n{s}"), ("at", f"p{s}"), ("cells", f"x{s}"))]
+        links = checkpointed(links.union(verified(passing(between(open_, turn).select(*one("a"), *one("b"))), sets, percent)))
+        found = checkpointed(components(links))
+        open_ = still_open(placed(found))
+
+    across = between(open_, GROUP_ROUNDS).select("h", "ba", "ca", "bb", "cb", "lowb", "highb", "mostb")
     side = lambda s: open_.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"), F.col("cells").alias(f"x{s}"))
     ones = across.join(side("a"), ["h", "ba", "ca"]).where((100 * F.col("na") >= percent * F.col("lowb")) & (100 * F.col("highb") >= percent * F.col("na")) & overlap_fits("xa", "mostb", "na", "lowb"))
     rest = verified(passing(ones.drop("lowb", "highb", "mostb").join(side("b"), ["h", "bb", "cb"])), sets, percent)
