@@ -16,8 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of lines go from the texts; n_chars follows the text."""
-    return line_dedup.dedup_lines(docs, length_column="n_chars")
+    """Repeated runs of lines, and shorter runs of many words, go from the texts; n_chars follows the text."""
+    return line_dedup.dedup_lines(docs, length_column="n_chars", long=line_dedup.LONG)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

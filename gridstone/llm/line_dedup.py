@@ -6,8 +6,13 @@ those that occur more than once, each hit is extended both ways to the windows o
 compared with the first one of the same lines in (doc_id, line) order. Lines in windows that began earlier elsewhere are deleted;
 overlapping windows make up longer runs. Windows are judged on the input, not on what is left.
 
+A repeated passage of fewer than ``run`` lines stays by this rule, however long its lines are. With ``long`` (words, characters) a run of
+fewer lines counts too if it has that many words or characters in all: every such run is a fingerprint of its own and is compared with the
+first one of the same lines in the same way. The pipeline's line stage uses ``LONG``; the registered query does not, as its SQL has the
+rule of ``run`` lines alone.
+
 Nulls: a null text has no lines and stays null; rows with a null doc_id stay as they are and match nothing. Texts of fewer than
-``run`` lines stay as they are. Rows that repeat a doc_id are treated as one place: none deletes another. An empty table gives an
+``run`` lines stay as they are unless ``long`` is given. Rows that repeat a doc_id are treated as one place: none deletes another. An empty table gives an
 empty result. Other columns, whatever their names, are carried along unchanged.
 """
 
@@ -16,10 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import WORD, table
 from .quality_rules import let
 
 RUN_LINES = 3
+#: Words or characters that make a run of fewer than RUN_LINES lines long enough.
+LONG = (50, 400)
 
 
 def fingerprints(hashes: Column, run: int) -> Column:
@@ -31,7 +38,37 @@ def fingerprints(hashes: Column, run: int) -> Column:
     return let(hashes, lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - (run - 1)), lambda i: -least(h, i)["j"])))
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def long_windows(docs: DataFrame, run: int, long: tuple[int, int]) -> DataFrame:
+    """Runs of fewer than run lines that have long's words or characters: doc_id, start, width and the hashes of their lines."""
+    words, chars = long
+    lines = (
+        docs.where("doc_id is not null and text is not null")
+        .where(F.length("text") >= min(2 * words - 1, chars))  # words are apart
+        .select("doc_id", F.split("text", "\n", -1).alias("lines"))
+        .select(
+            "doc_id",
+            F.transform("lines", lambda x: F.xxhash64(x)).alias("h"),
+            F.transform("lines", lambda x: F.hash(x)).alias("g"),
+            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"),
+            F.transform("lines", lambda x: F.length(x)).alias("c"),
+        )
+    )
+
+    def total(numbers: str, i: Column, width: int) -> Column:
+        return sum((F.element_at(numbers, i + k) for k in range(1, width)), F.element_at(numbers, i))
+
+    def starts(width: int) -> Column:
+        every = F.when(F.size("h") >= width, F.sequence(F.lit(1), F.size("h") - (width - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.filter(every, lambda i: (total("w", i, width) >= words) | (total("c", i, width) >= chars)), lambda i: F.struct(i.alias("start"), F.lit(width).alias("width")))
+
+    return (
+        lines.select("doc_id", "h", "g", F.explode(F.concat(*[starts(n) for n in range(1, run)])).alias("at"))
+        .select("doc_id", "at.start", "at.width", F.xxhash64(F.slice("h", F.col("at.start"), F.col("at.width"))).alias("a"), F.hash(F.slice("g", F.col("at.start"), F.col("at.width"))).alias("b"))
+        .distinct()
+    )
+
+
+def repeated_lines(docs: DataFrame, run: int = RUN_LINES, long: tuple[int, int] | None = None) -> DataFrame:
     """doc_id_ and drop_ (the places, from 1, of lines to delete) of each document that has such lines."""
     lines = (
         docs.where("doc_id is not null and text is not null")
@@ -58,16 +95,19 @@ def repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
         hits.select("doc_id", "from_", "h", "g", F.explode(F.sequence(F.lit(1), F.size("h") - (run - 1))).alias("k"))
         .select("doc_id", (F.col("from_") + F.col("k") - 1).alias("start"), F.xxhash64(F.slice("h", F.col("k"), run)).alias("a"), F.hash(F.slice("g", F.col("k"), run)).alias("b"))
         .distinct()
+        .withColumn("width", F.lit(run))
     )
+    if long is not None and run > 1:
+        windows = windows.unionByName(long_windows(docs, run, long))
     place = F.struct("doc_id", "start")
-    first = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
-    later = windows.join(first, ["a", "b"]).where(F.col("first") < place)
-    return later.groupBy(F.col("doc_id").alias("doc_id_")).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + (run - 1))))).alias("drop_"))
+    first = windows.groupBy("width", "a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("width", "a", "b", "first")
+    later = windows.join(first, ["width", "a", "b"]).where(F.col("first") < place)
+    return later.groupBy(F.col("doc_id").alias("doc_id_")).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("width") - 1)))).alias("drop_"))
 
 
-def without_repeats(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def without_repeats(docs: DataFrame, run: int = RUN_LINES, long: tuple[int, int] | None = None) -> DataFrame:
     """docs (columns row_, doc_id, text) with the kept text and n_deleted."""
-    found = repeated_lines(docs.select("doc_id", "text"), run)
+    found = repeated_lines(docs.select("doc_id", "text"), run, long)
     def flags(n: Column, drop: Column) -> Column:
         """0 or 1 for each of n lines: a merge of the sorted places, as a count of each place in both lists."""
         both = F.concat(F.transform(F.sequence(F.lit(1), n), lambda i: i * 2 + 1), F.transform(drop, lambda i: i * 2))
@@ -85,14 +125,14 @@ def without_repeats(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN_LINES, length_column: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN_LINES, length_column: str | None = None, long: tuple[int, int] | None = None) -> DataFrame:
     """docs, with docs' columns, whose text has lost its repeated lines; no row goes. length_column is set to the new text's length."""
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), "doc_id", "text")
     row = F.col("row_").withField("text", F.col("text"))
     if length_column in docs.columns:
         kept = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col(f"row_.{length_column}"))
         row = row.withField(length_column, kept.cast(docs.schema[length_column].dataType))
-    return without_repeats(packed, run).select(row.alias("row_")).select("row_.*")
+    return without_repeats(packed, run, long).select(row.alias("row_")).select("row_.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,29 @@ def test_line_dedup(docs, corpus):
     assert {r.doc_id: r.text for r in out.collect() if r.doc_id is not None} == want
 
 
+def test_line_dedup_of_long_short_runs(spark, docs, corpus):
+    say = lambda k, n: " ".join(f"v{k}x{i}" for i in range(n))
+    long, half, other, chars, short = say(1, 60), say(2, 30), say(3, 30), "\u5b57" * 400, say(4, 49)
+    texts = [long, long, f"{half}\n{other}", f"{half}\n{other}\n{say(5, 9)}", f"{other}\n{half}", f"a\n{chars}", f"b\n{chars}\nc\nd", short, short, f"{long}\n{long}", f"{long}\nx\n{half}\n{other}\ny"]
+    rows = [*((i, t) for i, t in enumerate(texts, 1000)), *texts_of(corpus)]
+    run, seen, want = line_dedup.RUN_LINES, {}, {}
+    for i, t in sorted(rows):
+        x = (t or "").split("\n")
+        drop = set()
+        for n in range(1, run + 1):
+            for j in range(len(x) - n + 1):
+                passage = tuple(x[j : j + n])
+                if n < run and sum(len(y.split()) for y in passage) < 50 and sum(map(len, passage)) < 400:
+                    continue
+                if seen.setdefault(passage, (i, j)) != (i, j):
+                    drop |= set(range(j, j + n))
+        want[i] = None if t is None else "\n".join(y for j, y in enumerate(x) if j not in drop)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, long=line_dedup.LONG).collect()}
+    assert got == want
+    assert got[1001] == got[1009] == "" and got[1003] == say(5, 9) and got[1004] == f"{other}\n{half}" and got[1006] == "b\nc\nd" and got[1008] == short and got[1010] == "x\ny"
+
+
 def test_quality_rules(docs, corpus):
     got = {r.doc_id: r for r in quality_rules.judged(docs).collect()}
     for i, t in texts_of(corpus):
