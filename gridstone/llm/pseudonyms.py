@@ -4,7 +4,7 @@ Numbers and dates are found by pattern, validated (check digits, issuer prefixes
 key: the pseudonym of a card number is a card number of the same issuer digit and layout with a right check digit, that of a date is a date. The
 permutation is a Feistel network over digit strings with a keyed hash as its round function, walked until the result is in the format again. It's a
 permutation, so equal values get equal pseudonyms in every document, and different ones different pseudonyms. Strings that look alike but
-don't validate stay.
+don't validate stay. Which texts are scanned is decided by a wider pattern, which every text with a value matches.
 
 Kinds: e-mail addresses (their local part), payment cards, IBANs, IPv4 addresses, telephone numbers, US social security numbers, dates
 (year-month-day, and day or month first with four-digit years), and secrets assigned to a name (``token = "..."``, hexadecimal).
@@ -43,6 +43,10 @@ PATTERN = re.compile(
     |(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d))""",
     re.VERBOSE,
 )
+#: In every text that PATTERN matches, in Arrow's RE2, kind by kind: an e-mail address has @; a secret 32 hexadecimal digits; an IBAN its country,
+#: check digits and first group; an IP address digit, point, digit; a date, an SSN and a phone number with its area code in brackets four digits in
+#: a row; any other phone number + and a digit; a card 13 digits with at most one space or hyphen between two. \d in PATTERN is any script's digit (Nd).
+ANY_VALUE = r"@|[0-9A-Fa-f]{32}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|\p{Nd}\.\p{Nd}|\p{Nd}{4}|\+\p{Nd}|\p{Nd}(?:[ -]?\p{Nd}){12}"
 NEAR_SECRET = re.compile(r"(?i)(?:token|secret|key|password|passwd|pwd|auth)\w{0,20}\s{0,3}[=:]\s{0,3}[\"']$")
 
 
@@ -118,7 +122,9 @@ def laid_out(shape: str, symbols: str) -> str:
 
 
 def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
-    """The pseudonym of a value, or None if it doesn't validate."""
+    """The pseudonym of a value, or None if it doesn't validate. Digits of any script count as the same ones of ASCII, which the pseudonym has."""
+    if not value.isascii():
+        value = "".join(str(int(c)) if c.isdecimal() else c for c in value)
     digits = "".join(c for c in value if c.isdigit())
     if kind == "card":
         if not issued(digits) or check_digit(digits[:-1]) != digits[-1]:
@@ -208,8 +214,8 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
         feistel = Feistel(key)
         for b in batches:
             texts = b.column("text")
-            # only texts with a digit and what else a value needs are looked at one by one
-            some = pa.compute.fill_null(pa.compute.match_substring_regex(texts, r"\d{4}|\d\.\d|@|[0-9A-Fa-f]{32}"), False)
+            # only texts that can have a value are looked at one by one
+            some = pa.compute.fill_null(pa.compute.match_substring_regex(texts, ANY_VALUE), False)
             at = pa.compute.indices_nonzero(some).to_pylist()
             new, counts = [], {k: [0] * len(b) for k in KINDS}
             for i, text in zip(at, texts.take(pa.array(at, pa.int64())).to_pylist(), strict=True):

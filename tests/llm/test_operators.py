@@ -233,6 +233,29 @@ def test_pseudonyms(spark):
     assert iso.split("-") == dotted.split(".")[::-1]  # one date, two layouts
 
 
+def test_pseudonyms_of_values_alone_in_a_text(spark):
+    account = "WESTABCDEFGHJK"
+    iban = f"GB{98 - pseudonyms.iban_number('GB00', account) % 97:02d}{account}"
+    arabic = str.maketrans("0123456789", "".join(chr(0x660 + i) for i in range(10)))
+    values = {
+        "email": ["a@b.co"],
+        "secret": ["key='" + "a" * 32 + "'"],
+        "iban": [iban, " ".join(iban[i : i + 4] for i in range(0, len(iban), 4)), "GB82 WEST 1234 5698 7654 32"],
+        "ip": ["1.2.3.4"],
+        "date": ["2024-02-29", "2024/02/29", "29/02/2024", "29.02.2024", "2024-02-29".translate(arabic)],
+        "ssn": ["078-05-1120", "078-05-1120".translate(arabic)],
+        "phone": ["+49 30 123 456", "+44 20 794 609 58", "+49.30.123.456", "+1 (705) 555-1902", "(705) 555-1902", "+49 30 123 456".translate(arabic), "(705) 555-1902".translate(arabic)],
+        "card": ["4111 1111 1111 1111", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "411-111-111-111-111-1", "4111111111111111", "4111 1111 1111 1111".translate(arabic)],
+    }
+    rows = [(i, kind, value) for i, (kind, value) in enumerate((k, v) for k in pseudonyms.KINDS for v in values[k])]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(spark.createDataFrame(rows, "doc_id long, kind string, text string"), b"k").collect()}
+    for i, kind, value in rows:
+        assert out[i].text != value and {k: out[i][f"n_{k}"] for k in pseudonyms.KINDS} == {k: int(k == kind) for k in pseudonyms.KINDS}, value
+    new = {value: out[i].text for i, _, value in rows}
+    assert new["+49 30 123 456".translate(arabic)] == new["+49 30 123 456"] and new["078-05-1120".translate(arabic)] == new["078-05-1120"]
+    assert pseudonyms.replaced("2024: +49 30 123 456", pseudonyms.Feistel(b"k"))[0] == f"2024: {new['+49 30 123 456']}"
+
+
 def test_feistel_permutes():
     f = pseudonyms.Feistel(b"k")
     for digits in (1, 2, 3):
