@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 
 import numpy as np
@@ -29,30 +30,38 @@ SIZE, END = 2048, 0
 VOCABULARY = "byte_bpe_50k"
 
 
-def vocabulary_path(name: str = VOCABULARY) -> str:
+def vocabulary_path(name: str = VOCABULARY, kind: str = "tiktoken") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(f"{name}.tiktoken")
+    return public_tokenizers.path(f"{name}.{kind}")
 
 
-def encoder(path: str):
-    """The byte-level BPE whose ranks stand in a file (its ids are those of the tokenizers file of the same name)."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizers file, which stand for their ids wherever they are in a text."""
+    found = json.load(open(path, encoding="utf-8"))["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in found):
+        raise ValueError(f"{path}: added tokens that take in or depend on what is around them are not built")
+    return {t["content"]: t["id"] for t in found}
+
+
+def encoder(path: str, added: dict[str, int]):
+    """The byte-level BPE whose ranks stand in a file, with added tokens (its ids are those of the tokenizers file of the same name)."""
     import public_tokenizers
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def pieces(docs: DataFrame, size: int = SIZE, name: str = VOCABULARY) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of the pieces of each row of docs. Only the first piece of a cut document may be shorter."""
 
     def run(batches):
-        encode = encoder(vocabulary_path(name)).encode_ordinary
+        tokens = encoder(vocabulary_path(name), added_tokens(vocabulary_path(name, "json")))
         for b in slices(batches, most=1 << 20):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = np.array([*encode(text or ""), END], "<u4")
+                ids = np.array([*tokens.encode(text or "", allowed_special="all"), END], "<u4")
                 first = len(ids) % size or size
                 for i, end in enumerate(range(first, len(ids) + 1, size)):
                     start = max(0, end - size) if i else 0

@@ -203,6 +203,23 @@ def test_packing(docs, corpus):
     assert len(used) <= -(-sum(r.length for r in rows) // 2048) + 1
 
 
+def test_packing_maps_added_tokens_in_texts(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n  y", " \n<|endoftext|> \u00e9 <|endoftext|", "<|endoftext|>s 12", "word <|endoftext|> " * 1500]
+    rows = best_fit.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, t in enumerate(texts):
+        ids = [*tk.encode(t, add_special_tokens=False).ids, 0]
+        assert 50256 in ids
+        mine = [r for r in rows if r.doc_id == i]
+        assert sum(r.length for r in mine) == len(ids)
+        for r in mine:
+            assert r.ids_crc32 == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[r.start : r.start + r.length]))
+
+
 def test_packing_plan_uses_all_pieces():
     rng = random.Random(3)
     counts = collections.Counter(rng.randint(1, 100) for _ in range(5000))
