@@ -340,3 +340,102 @@ def test_pipeline_stages(spark, tmp_path, docs, corpus):
     spark.createDataFrame([(5, corpus[1])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def test_pipeline_stages_one_after_another(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    import public_tokenizers
+
+    rng = random.Random(11)
+    vocabulary = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(3000)})
+    say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    changed = lambda t, at: " ".join("changed" if k == at else w for k, w in enumerate(t.split(" ")))
+    item, near, three, paragraph = say(60), say(200), "\n".join(say(4) for _ in range(3)), say(60)
+    texts = {
+        "clean": say(80), "clean of two sequences": say(2500),
+        "few words": say(49), "symbols": f"{say(60)} {'# ' * 20}", "no letters": " ".join(str(rng.randint(100, 999)) for _ in range(60)),
+        "three lines": f"{say(60)}\n{three}\n{say(60)}", "three lines again": f"{say(70)}\n{three}\n{say(50)}",
+        "paragraph": f"{paragraph}\n{say(80)}", "paragraph again": f"{say(90)}\n{paragraph}",
+        "near": near, "near copy": changed(near, 100), "near copy that the lines make": f"{paragraph}\n{changed(near, 60)}",
+        "leak": f"{say(60)} {item.upper()} {say(60)}", "near leak": f"{say(60)} {changed(item, 30)} {say(60)}", "half an item": f"{say(60)} {' '.join(item.split()[:30])} {say(60)}",
+        "added token": f"{say(60)} <|endoftext|> {say(60)}",
+    }
+    names = {i: name for i, name in enumerate(texts, 1)}
+    rows = [*((i, texts[name], len(texts[name])) for i, name in names.items()), (None, say(90), 1), (90, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def shingles(t):
+        w = lower(t)
+        return [tuple(w[j : j + 5]) for j in range(len(w) - 4)] or [tuple(w)]
+
+    def similar(a, b):
+        a, b = collections.Counter(a), collections.Counter(b)
+        return 100 * (a & b).total() >= 80 * (a | b).total()
+
+    def quality(docs):
+        def kept(t):
+            w, lines = (t or "").split(), [x for x in (t or "").split("\n") if x.strip()]
+            c = collections.Counter(zip(w, w[1:], w[2:]))
+            chars, repeated = sum(map(len, w)), {j + k for j in range(len(w) - 2) if c[w[j], w[j + 1], w[j + 2]] > 1 for k in range(3)}
+            return not (
+                len(w) < 50 or 2 * len(repeated) > len(w) or len(re.findall(r"[#*$%&|<>]", t)) > 0.1 * len(w) or not 2 * len(w) <= chars <= 20 * len(w) or len(lines) - len(set(lines)) > 0.3 * len(lines)
+                or len(set(w)) < 0.2 * len(w) or sum(x.isupper() for x in t) > 0.5 * chars or sum(x.isalpha() for x in t) < 0.5 * chars
+            )
+
+        return [r for r in docs if kept(r[1])]
+
+    def lines(docs):
+        seen, out = {}, []
+        for i, t, n in docs:
+            x, drop = t.split("\n"), set()
+            for n_lines in (1, 2, 3) if i is not None else ():
+                for j in range(len(x) - n_lines + 1):
+                    passage = tuple(x[j : j + n_lines])
+                    if n_lines == 3 or sum(len(y.split()) for y in passage) >= 50 or sum(map(len, passage)) >= 400:
+                        if seen.setdefault(passage, (i, j)) != (i, j):
+                            drop |= set(range(j, j + n_lines))
+            t = "\n".join(y for j, y in enumerate(x) if j not in drop)
+            out.append((i, t, len(t) if drop else n))
+        return out
+
+    def near_copies(docs):
+        sets = {i: set(shingles(t)) for i, t, _ in docs if i is not None}
+        component = {i: i for i in sets}
+        for _ in sets:
+            component = {i: min(component[j] for j in sets if similar(sets[i], sets[j])) for i in sets}
+        return [r for r in docs if r[0] is None or component[r[0]] == r[0]]
+
+    def decontaminated(docs):
+        size, want = len(item.split()), shingles(item)
+        return [r for r in docs if r[0] is None or not any(similar(shingles(" ".join(r[1].split()[j : j + size])), want) for j in range(len(r[1].split()) - size + 1))]
+
+    order = lambda rows: sorted(((r[0], r[1], r[2]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0))
+    docs, gone = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for k, ((_, stage), plain) in enumerate(zip(corpus_pipeline.STAGES, (quality, lines, near_copies, decontaminated), strict=False)):
+        before = order(docs.collect())
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        after = order(docs.collect())
+        assert after == plain(before)
+        gone.append({names.get(r[0], r[0]) for r in before} - {names.get(r[0], r[0]) for r in after})
+        if plain is lines:
+            assert {names[a[0]] for a, b in zip(before, after) if a != b} == {"three lines again", "paragraph again", "near copy that the lines make"}
+    assert gone == [{"few words", "symbols", "no letters", 90}, set(), {"near copy", "near copy that the lines make"}, {"leak", "near leak"}]
+
+    tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = collections.Counter()
+    for i, t, _ in docs.collect():
+        ids = [*tk.encode(t, add_special_tokens=False).ids, 0]
+        first = len(ids) % 2048 or 2048
+        for start, end in zip([0, *range(first, len(ids), 2048)], range(first, len(ids) + 1, 2048)):
+            want[i, start, end - start, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[start:end]))] += 1
+    assert collections.Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in rows) == want
+    used = collections.defaultdict(list)
+    for r in rows:
+        used[r.sequence_id].append((r.offset, r.length))
+    for parts in map(sorted, used.values()):
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 2048
