@@ -439,3 +439,28 @@ def test_pipeline_stages_one_after_another(spark, tmp_path):
         used[r.sequence_id].append((r.offset, r.length))
     for parts in map(sorted, used.values()):
         assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 2048
+
+
+def test_decontamination_of_near_passages(spark):
+    rng = random.Random(5)
+    say = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    items, texts = {}, {}
+    for i in range(400):
+        items[i] = say(rng.randint(40, 120))
+        near = list(items[i])
+        for at in rng.sample(range(len(near)), rng.randint(1, 3)):
+            near[at] = "changed"
+        texts[i] = say(20) + near + say(20)
+    shingles = lambda w: collections.Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    best = {}
+    for i, w in texts.items():
+        a, n = shingles(items[i]), len(items[i])
+        windows = [shingles(w[j : j + n]) for j in range(len(w) - n + 1)]
+        best[i] = max((a & b).total() / (a | b).total() for b in windows)
+    frame = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], f"{name} long, text string")
+    found = {r.doc_id: r for r in decontaminate.leaking(frame(texts, "doc_id"), frame(items, "item_id")).collect()}
+    due = {i for i, x in best.items() if x >= 0.8}
+    assert set(found) <= due and all(r["items"] == [i] and 0.8 <= r.similarity <= best[i] + 1e-12 for i, r in found.items())
+    low = {i for i in due if best[i] < 0.9}
+    print("0.8 to 0.9:", len(low & set(found)), "of", len(low), "0.9 on:", len(set(found) - low), "of", len(due - low))
+    assert len(low) > 50 and len(low & set(found)) >= 0.95 * len(low) and due - low <= set(found)
