@@ -7,7 +7,10 @@ step for each word.
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +30,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a temporary one where it names none, as in tests."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoints-")
+    """The folder that the session names in spark.checkpoint.dir. Only a local session may go without one: it gets a temporary folder, as in tests."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named is None and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named or tempfile.mkdtemp(prefix="checkpoints-")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder, so that no lost executor makes it be computed again.
+@contextlib.contextmanager
+def shuffles_go(spark: SparkSession):
+    """Shuffle files of queries that run inside go once the query has ended; else they stay until the driver collects garbage.
 
-    Its shuffle files go once it is written, as nothing reads them again; else they stay until the driver collects garbage.
+    The setting is the session's. A query of another thread that begins meanwhile loses its shuffle files at its end too, which costs it a repeated
+    stage only if it runs again.
     """
-    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder, so that no lost executor makes it be computed again. Its shuffle files go once it is written."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
-    try:
+    with shuffles_go(df.sparkSession):
         return df.select("*").checkpoint(eager=True)  # a plan of its own: df's shuffles, if it has run before, stay
-    finally:
-        conf.set(CLEANUP, before)
+
+
+class Scratch:
+    """Intermediate tables of one run of an operator, as Parquet in the shared folder.
+
+    What is kept is written and read again, so that no lost executor makes it be computed twice, the next plan knows its size, and small results are read in
+    few tasks. A table goes when it is dropped; what the operator's result still reads stays, like a checkpoint.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.paths = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}", []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        with shuffles_go(self.spark):
+            df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((out, path))
+        return out
+
+    def drop(self, *dfs: DataFrame | None) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for out, name in self.paths:
+            if any(out is df for df in dfs):
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(conf).delete(path, True)
 
 
 def buckets(spark: SparkSession, each: int = 4) -> int:
@@ -217,6 +258,8 @@ def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
 
 def by_bucket(bucket: np.ndarray, n: int):
     """(bucket, indices) of each bucket that occurs, indices in their order."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket.astype(np.uint16) if n <= 65536 else bucket, kind="stable")
     at = group_starts(bucket[order])
     for a, b in zip(at, [*at[1:], len(order)], strict=True):
@@ -227,27 +270,24 @@ def column(t: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return t.column(name).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(name).to_numpy()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """node and component (the smallest node reachable) for the nodes of edges (a, b), by large-star and small-star rounds.
 
-    Every round is two joins on a node and its minimum and is checkpointed; nothing is collected but a count and a checksum.
+    A node's smallest neighbour comes from an aggregation with partial sums; only counts reach the driver. Rounds end when every node but the
+    components' smallest has one edge and those have none.
     """
-    links = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-
-    def mark(e: DataFrame) -> tuple:
-        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        return r[0], r[1]
-
-    before = mark(links)
+    scratch = scratch or Scratch(edges.sparkSession)
+    links = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     while True:
+        ends = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("up")).unionByName(links.select(F.col("v").alias("u")).distinct().select("u", F.lit(0).cast("long").alias("n"), F.lit(0).alias("up")))
+        # a node with two edges up, or with edges both up and down, is not settled
+        if not ends.groupBy("u").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sides")).where("n > 1 or sides > 1").limit(1).count():
+            break
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).where("u <> v").distinct()
-        links = checkpointed(small)
-        after = mark(links)
-        if after == before:
-            break
-        before = after
+        before, links = links, scratch.keep(small)
+        scratch.drop(before)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct())

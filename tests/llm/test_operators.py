@@ -51,12 +51,47 @@ def test_jaccard_join(docs, corpus):
     component = {i: i for i in sets}
     for _ in sets:
         component = {i: min([component[i], *(component[j] for j in linked[i])]) for i in sets}
-    got = {(r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.near_duplicates(docs).collect() if r.doc_id is not None}
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.near_duplicates(docs, count_links=True).collect() if r.doc_id is not None}
     assert got == {(i, len(s), component[i], len(linked[i])) for i, s in sets.items()}
+    plain = jaccard_join.near_duplicates(docs)
+    assert plain.columns == ["doc_id", "n_shingles", "component_id"] and {tuple(r) for r in plain.collect() if r.doc_id is not None} == {x[:3] for x in got}
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {None, *component.values()}
 
 
+def test_jaccard_join_of_slices_without_shingles(spark):
+    rows = [(1, None), (2, "")]
+    assert sorted(map(tuple, jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect())) == [(1, 0, 1), (2, 0, 2)]
+    rows += [(3, "a b c d e f g"), (4, "a b c d e f g"), (5, " \n")]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(5, "doc_id"))
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 1), (2, 0, 2), (3, 3, 3), (4, 3, 3), (5, 0, 5)]
+
+
+def test_jaccard_join_of_large_groups(spark, monkeypatch):
+    """Near copies of near copies, a passage in every text and copies of all kinds, on many partitions, with salted shingles."""
+    monkeypatch.setattr(jaccard_join, "SALTED", 8)
+    rng = random.Random(2)
+    say = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    passage, texts = say(30), []
+    for size in (60, 8, 3, 1):
+        chain = say(80)
+        for _ in range(size):
+            chain = list(chain)
+            chain[rng.randrange(len(chain))] = f"x{rng.randrange(50_000)}"
+            texts.append(chain + passage)
+    texts += [passage + say(n % 9) for n in range(40)] + [texts[5]] * 20 + [say(4)] * 3
+    rows = [(i * 7 % 997, " ".join(w)) for i, w in enumerate(texts)]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} or {tuple(w)} for i, w in ((i, t.split()) for i, t in rows)}
+    component = {i: i for i in sets}
+    while True:
+        new = {i: min(component[j] for j in sets if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in sets}
+        if new == component:
+            break
+        component = new
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert {tuple(r) for r in got.collect()} == {(i, len(s), component[i]) for i, s in sets.items()}
+
+
 def test_decontamination(spark, docs, corpus):
     bench = spark.createDataFrame([(5, corpus[1]), (6, None), (None, corpus[1]), (7, "one")], "item_id long, text string")
     got = {r.doc_id: r["items"] for r in decontaminate.leaking(docs, bench).collect()}
