@@ -304,8 +304,10 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         for before in checked:
             pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
         checked.append(scratch.keep(pairs))
+        if checked[-1].isEmpty():
+            return rows, False
         links.append(scratch.keep(verified(checked[-1], sets, percent)))
-        if not links[-1].limit(1).count():
+        if links[-1].isEmpty():
             return rows, False
         joined = components(links[-1].select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch).select(F.col("node").alias("c"), "component")
         moved = rows.join(joined, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
@@ -322,7 +324,7 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
     for kind, turns in (("one", ROUNDS), ("groups", GROUP_ROUNDS), ("all", 1)):
         for turn in range(turns):
-            if not rows.limit(1).count():
+            if rows.isEmpty():
                 break
             rows, more = settle(rows, pairs_of(kind, turn))
             if not more:
