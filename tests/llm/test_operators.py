@@ -367,14 +367,33 @@ def test_components(spark):
     assert {got[i] for i in range(1, 11)} | {got[100]} == {1} and got[201] == got[200] == 200 and got[35] == 31
 
 
-def test_pipeline_stages(spark, tmp_path, docs, corpus):
+def test_pipeline_stages(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and columns with clashing names, stage by stage."""
     import corpus_pipeline
 
-    folder = str(tmp_path)
-    docs.withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{folder}/documents.parquet")
-    spark.createDataFrame([(5, corpus[1])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-    rows = corpus_pipeline.run(spark, folder).collect()
-    assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
+    say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    item, base = say(40), say(90)
+    texts = [None, "", " \n\t", "one", base, base, f"{base} end", " ".join("".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(60_000)), f"{say(50)} {item} {say(50)}", say(70), say(70)]
+    rows = [(i, t, f"r{i}", i, None, i, f"{i}", None if t is None else len(t)) for i, t in enumerate(texts)]
+    rows += [rows[-1], (None, say(80), None, None, None, None, None, 7)]
+    clashing = "doc_id long, text string, row_ string, drop_ long, n_deleted long, c long, words string, n_chars long"
+    spark.createDataFrame(rows, clashing).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, item), (None, None), (6, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept.append(sorted((-1 if r.doc_id is None else r.doc_id) for r in docs.collect()))
+    assert kept == [[-1, 4, 5, 6, 7, 8, 9, 10, 10], [-1, 4, 5, 6, 7, 8, 9, 10, 10], [-1, 4, 5, 7, 8, 9, 10, 10], [-1, 4, 5, 7, 9, 10, 10]]
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == {None, 4, 5, 7, 9, 10} and sum(r.start == 0 for r in rows) == 7
+    none = spark.createDataFrame([], clashing)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
 
 
 def test_pipeline_stages_one_after_another(spark, tmp_path):
