@@ -75,13 +75,13 @@ def repeated_words(words: Column, window: int = 3) -> Column:
 
     def places(s: Column) -> Column:
         kept = F.filter(s, lambda x, k: same(x, F.get(s, k - 1)) | same(x, F.get(s, k + 1)))
-        return F.array_sort(F.transform(kept, lambda x: x["i"]))
+        return F.sort_array(F.transform(kept, lambda x: x["i"]))
 
     def cover(p: Column) -> Column:
         return F.aggregate(p, F.struct(F.lit(0).alias("n"), F.lit(-window).alias("last")), lambda a, i: F.struct((a["n"] + F.least(F.lit(window), i - a["last"])).alias("n"), i.alias("last")), lambda a: a["n"])
 
     def sorted_windows(w: Column) -> Column:
-        return F.array_sort(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def count(h: Column) -> Column:
         # most texts repeat no window: a hash set tells, without a sort
