@@ -58,11 +58,15 @@ def features(panel: DataFrame, series: list[str]) -> DataFrame:
     )
 
 
-def folds(panel: DataFrame, least_train: int, step: int) -> DataFrame:
-    """fold, train_end and test_end: windows that expand by ``step`` periods, each tested on the periods that follow it."""
-    ends = panel.agg(F.min("period").alias("a"), F.max("period").alias("b"))
-    starts = F.explode(F.sequence(F.col("a") + least_train - 1, F.col("b") - 1, F.lit(step)))
-    return ends.where(F.col("a") + least_train - 1 <= F.col("b") - 1).select(starts.alias("train_end"), "b").select(F.row_number().over(Window.orderBy("train_end")).alias("fold"), "train_end", F.least(F.col("train_end") + step, F.col("b")).alias("test_end"))
+def folds(panel: DataFrame, least_train: int, step: int | None = None) -> DataFrame:
+    """fold, train_end and test_end over the periods that occur, whatever gaps are between them: windows that begin with ``least_train`` periods and expand by
+    ``step`` (a sixth of them all by default), each tested on the periods that follow it. There is a row for each period at most, so one task orders them."""
+    seen = panel.select("period").distinct()
+    places = seen.withColumn("i", F.row_number().over(Window.orderBy("period"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))
+    wide = F.greatest(F.lit(1), F.floor(F.col("n") / 6).cast("int")) if step is None else F.lit(step)
+    ends = places.where((F.col("i") >= least_train) & (F.col("i") < F.col("n")) & ((F.col("i") - least_train) % wide == 0)).withColumn("j", F.least(F.col("i") + wide, F.col("n")))
+    last = places.select(F.col("i").alias("j"), F.col("period").alias("test_end"))
+    return ends.join(F.broadcast(last), "j").select(F.row_number().over(Window.orderBy("period")).alias("fold"), F.col("period").alias("train_end"), "test_end")
 
 
 def walk_forward(panel: DataFrame, series: list[str], least_train: int, step: int) -> DataFrame:
@@ -84,8 +88,8 @@ def champion(comparison: DataFrame) -> DataFrame:
 
 
 def breaks(panel: DataFrame, series: list[str], threshold: float = 0.15) -> DataFrame:
-    """Periods that deviate from the mean of up to three periods before by threshold or more, in series of three rows or more."""
+    """Periods, from a series' third row on, that deviate from the mean of up to three rows before by threshold or more. deviation_pct has a sign: a fall is negative."""
     w = Window.partitionBy(*series).orderBy("period")
-    a = panel.select("*", F.avg("value").over(w.rowsBetween(-3, -1)).alias("past"), F.count(F.lit(1)).over(Window.partitionBy(*series)).alias("n"))
+    a = panel.select("*", F.avg("value").over(w.rowsBetween(-3, -1)).alias("past"), F.row_number().over(w).alias("n"))
     off = (F.col("value") - F.col("past")) / F.col("past")
     return a.where((F.col("n") >= 3) & (F.col("past") > 0) & (F.abs(off) >= threshold)).select(*series, "period", "value", F.round(off * 100, 6).alias("deviation_pct"))

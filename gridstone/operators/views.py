@@ -30,9 +30,10 @@ def shortage_ranking(shortage: DataFrame, *within: str) -> DataFrame:
 
 
 def trend(df: DataFrame, column: str, *series: str) -> DataFrame:
-    """Change against the previous row and mean of up to three rows, by year within a series."""
+    """Change against the year before (NULL where that year is missing) and mean of up to three rows, by year within a series."""
     w = Window.partitionBy(*series).orderBy("year")
-    return df.select(*series, "year", column, (F.col(column) - F.lag(column).over(w)).alias("yoy_change"), F.round(F.avg(column).over(w.rowsBetween(-2, 0)), 6).alias("rolling_3y_mean"))
+    before = F.when(F.lag("year").over(w) == F.col("year") - 1, F.lag(column).over(w))
+    return df.select(*series, "year", column, (F.col(column) - before).alias("yoy_change"), F.round(F.avg(column).over(w.rowsBetween(-2, 0)), 6).alias("rolling_3y_mean"))
 
 
 def capacity_pressure(capacity: DataFrame) -> DataFrame:

@@ -39,7 +39,8 @@ def tidy_workers(spark: SparkSession, d: str) -> DataFrame:
     lines = read(spark, d, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("sex"), F.format_string("Q%02d", F.ceil(F.col("l_quantity") / 5).cast("int")).alias("age"))
     cube = lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("geo", "profession", "time", "sex", "age").agg(F.count(F.lit(1)).alias("value"))
     keys = ["geo", "profession", "time"]
-    return cube.cube("sex", "age", *keys).agg(F.sum("value").cast("double").alias("value"), F.grouping_id().alias("g")).where("g in (0, 8, 16, 24)").select(*keys, F.coalesce("sex", F.lit("T")).alias("sex"), F.coalesce("age", F.lit("TOTAL")).alias("age"), "value")
+    sets = [[*keys, *more] for more in (["sex", "age"], ["sex"], ["age"], [])]
+    return cube.groupingSets(sets, "sex", "age", *keys).agg(F.sum("value").cast("double").alias("value")).select(*keys, F.coalesce("sex", F.lit("T")).alias("sex"), F.coalesce("age", F.lit("TOTAL")).alias("age"), "value")
 
 
 def tidy_population(spark: SparkSession, d: str) -> DataFrame:

@@ -279,6 +279,18 @@ SERIES = ["region", "segment"]
 query("l2_baseline_forecasts", "SELECT region, segment, e + h AS period, greatest(0.0, l) AS naive, greatest(0.0, l + coalesce((l - f) / nullif(p1 - p0, 0), 0) * (e + h - p1)) AS naive_drift, greatest(0.0, coalesce((sy - (n * sty - st * sy) / (n * stt - st * st) * st) / n + (n * sty - st * sy) / (n * stt - st * st) * (e + h), l)) AS trend FROM (SELECT region, segment, arg_max(value, period)::DOUBLE AS l, arg_min(value, period)::DOUBLE AS f, max(period) AS p1, min(period) AS p0, count(*) AS n, sum(period)::DOUBLE AS st, sum(value)::DOUBLE AS sy, sum(period * period)::DOUBLE AS stt, sum(period * value)::DOUBLE AS sty FROM panel GROUP BY ALL), (SELECT max(period) AS e FROM panel), (SELECT unnest([1, 6, 12]) AS h)", N)(lambda s, d: forecast.forecast(A.panel(s, d), SERIES, [1, 6, 12]))
 query("l6_features", "SELECT region, segment, period, value, lag(value) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2, lag(value, 3) OVER w AS lag_3, round(avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_3, (lag(value) OVER w - lag(value, 2) OVER w) / nullif(lag(value, 2) OVER w, 0) AS growth, (lag(value) OVER w - lag(value, 5) OVER w) / 4 AS trend FROM (SELECT g.region, g.segment, g.period, value::DOUBLE AS value FROM (SELECT region, segment, unnest(range((SELECT min(period) FROM panel), (SELECT max(period) FROM panel) + 1))::INT AS period FROM (SELECT DISTINCT region, segment FROM panel)) g LEFT JOIN panel p ON g.region = p.region AND g.segment = p.segment AND g.period = p.period) WINDOW w AS (PARTITION BY region, segment ORDER BY period)", N)(lambda s, d: forecast.features(A.panel(s, d), SERIES))
 query("l10_folds", "SELECT row_number() OVER (ORDER BY t) AS fold, t AS train_end, least(t + 12, b) AS test_end FROM (SELECT unnest(range(min(period) + 35, max(period), 12)) AS t, max(period) AS b FROM panel)", N)(lambda s, d: forecast.folds(A.panel(s, d), 36, 12))
-query("l12_breaks", "SELECT region, segment, period, value, round((value - past) / past * 100, 6) AS deviation_pct FROM (SELECT *, avg(value) OVER (PARTITION BY region, segment ORDER BY period ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS past, count(*) OVER (PARTITION BY region, segment) AS n FROM panel) WHERE n >= 3 AND past > 0 AND abs((value - past) / past) >= 0.15", N)(lambda s, d: forecast.breaks(A.panel(s, d), SERIES))
-query("l11_walk_forward")(lambda s, d: forecast.walk_forward(A.panel(s, d), SERIES, 36, 12))
-query("l14_champion")(lambda s, d: forecast.champion(forecast.walk_forward(A.panel(s, d), SERIES, 36, 12)))
+query("l12_breaks", "SELECT region, segment, period, value, round((value - past) / past * 100, 6) AS deviation_pct FROM (SELECT *, avg(value) OVER (PARTITION BY region, segment ORDER BY period ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS past, row_number() OVER (PARTITION BY region, segment ORDER BY period) AS n FROM panel) WHERE n >= 3 AND past > 0 AND abs((value - past) / past) >= 0.15", N)(lambda s, d: forecast.breaks(A.panel(s, d), SERIES))
+L11 = """seen AS (SELECT period, row_number() OVER (ORDER BY period) AS i, count(*) OVER () AS m FROM (SELECT DISTINCT period FROM panel)),
+cuts AS (SELECT a.period AS train_end, b.period AS test_end FROM seen a JOIN seen b ON b.i = least(a.i + 12, a.m) WHERE a.i >= 36 AND a.i < a.m AND (a.i - 36) % 12 = 0),
+fit AS (SELECT train_end, test_end, region, segment, arg_max(value, period)::DOUBLE AS l, arg_min(value, period)::DOUBLE AS f, max(period) AS p1, min(period) AS p0, count(*) AS n, sum(period)::DOUBLE AS st, sum(value)::DOUBLE AS sy,
+  sum(period * period)::DOUBLE AS stt, sum(period * value)::DOUBLE AS sty FROM panel JOIN cuts ON period <= train_end GROUP BY ALL),
+line AS (SELECT *, (n * sty - st * sy) / nullif(n * stt - st * st, 0) AS slope FROM fit),
+said AS (SELECT p.value::DOUBLE AS actual, greatest(0.0, l) AS naive, greatest(0.0, l + coalesce((l - f) / nullif(p1 - p0, 0), 0) * (p.period - p1)) AS naive_drift,
+  greatest(0.0, CASE WHEN n >= 2 THEN coalesce((sy - slope * st) / n + slope * p.period, l) ELSE l END) AS trend
+  FROM line JOIN panel p ON p.region = line.region AND p.segment = line.segment AND p.period > train_end AND p.period <= test_end),
+each AS (SELECT actual, 'naive' AS model, naive AS y FROM said UNION ALL SELECT actual, 'naive_drift', naive_drift FROM said UNION ALL SELECT actual, 'trend', trend FROM said),
+compared AS (SELECT model, round(avg(abs(actual - y)), 6) AS mae, round(sqrt(avg((actual - y) * (actual - y))), 6) AS rmse, round(avg(abs(actual - y) / abs(actual) * 100) FILTER (WHERE abs(actual) >= 1e-9), 6) AS mape,
+  round(avg(abs(actual - y) * 200 / (abs(actual) + abs(y))) FILTER (WHERE abs(actual) + abs(y) >= 1e-9), 6) AS smape, count(*) AS n FROM each GROUP BY model)"""
+L14 = """champion AS (SELECT CASE WHEN b.mape < n.mape THEN b.model ELSE 'naive' END AS model, b.mape AS best_mape, n.mape AS naive_mape FROM (SELECT * FROM compared WHERE model NOT LIKE 'naive%' ORDER BY mape LIMIT 1) b, (SELECT * FROM compared WHERE model = 'naive') n)"""
+query("l11_walk_forward", "SELECT * FROM compared", N, L11)(lambda s, d: forecast.walk_forward(A.panel(s, d), SERIES, 36, 12))
+query("l14_champion", "SELECT * FROM champion", N, L11, L14)(lambda s, d: forecast.champion(forecast.walk_forward(A.panel(s, d), SERIES, 36, 12)))

@@ -14,8 +14,22 @@ from ..functions.columns import is_missing, number
 
 INDEX_MAP = "map<string,struct<category:struct<index:map<string,int>>>>"
 INDEX_LIST = "map<string,struct<category:struct<index:array<string>>>>"
-#: Flags of published observations (fixed values).
-FLAGS = {"b": "break in time series", "c": "confidential", "d": "definition differs", "e": "estimated", "f": "forecast", "n": "not significant", "p": "provisional", "r": "revised", "s": "estimated by the agency", "u": "low reliability", "z": "not applicable"}
+#: Flags of published observations and their labels (fixed values of the published status list).
+FLAGS = {
+    "b": "break_in_series",
+    "be": "break_in_series_estimated",
+    "c": "confidential",
+    "d": "definition_unavailable",
+    "e": "estimated",
+    "f": "forecast",
+    "n": "not_significant",
+    "p": "provisional",
+    "r": "revised",
+    "s": "Eurostat_estimate",
+    "u": "low_reliability",
+    "z": "not_applicable",
+    ":": "not_available",
+}
 
 
 def codes_of(payload: Column, name: str) -> Column:
