@@ -14,7 +14,7 @@ their sets is at least the threshold. Steps:
 4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, in a few rounds, which are
    linear in the prefixes; then, between the components that these links make, one pair for each two groups (a component's documents at
    a shingle) that can hold a link, in a few rounds; then every other pair of the join between components, with the filters inside the
-   join, first for a group's documents together. A pair within a component can't change it, so no group of near copies is spelled out as pairs. Pairs that
+   join, first for a group's documents together. Documents of a group that can't hold a link with any other group at its shingle leave the join. A pair within a component can't change it, so no group of near copies is spelled out as pairs. Pairs that
    have been verified are remembered, so that each is verified once, and turns end as soon as no shingle joins two components.
 5. If asked for, links within a component are counted in tiles of its classes, from their intersection sizes; a tile gives a number for each document.
    That takes time with the square of a component's classes, so nothing else depends on it.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import BASE_B, U64, Scratch, Texts, bucket_of, by_bucket, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
 
-WORDS, PERCENT, TILE, CELLS, ROUNDS, GROUP_ROUNDS = 5, 80, 256, 32, 4, 3
+WORDS, PERCENT, TILE, CELLS, ROUNDS, GROUP_ROUNDS = 5, 80, 256, 32, 2, 3
 PER_BUCKET = 1 << 20  # shingles of a bucket, about
 FREQUENT = 100  # a shingle of more than one document in so many is frequent
 SALTED = 4096  # documents of a shingle that are joined in one part, about
@@ -262,12 +262,12 @@ class Prefixes:
         lengths = (100 * F.col("higha") >= self.percent * F.col("lowb")) & (100 * F.col("highb") >= self.percent * F.col("lowa"))
         return near.join(groups.select("h", F.col("band").alias("bb"), *named("b")), ["h", "bb"]).where((F.col("ca") < F.col("cb")) & lengths & self.overlap_fits("mosta", "mostb", "lowa", "lowb"))
 
-    def one_of_both(self, groups: DataFrame) -> DataFrame:
+    def one_of_both(self, between: DataFrame) -> DataFrame:
         one = lambda s: [F.col(f"c{s}"), *(F.col(f"one{s}.{x}").alias(y) for x, y in (("doc_id", s), ("n", f"n{s}"), ("at", f"p{s}"), ("cells", f"x{s}")))]
-        return self.passing(self.between(groups).select(*one("a"), *one("b")))
+        return self.passing(between.select(*one("a"), *one("b")))
 
-    def all_of_both(self, rows: DataFrame, groups: DataFrame) -> DataFrame:
-        across = self.between(groups).select("h", "ba", "ca", "bb", "cb", "lowb", "highb", "mostb")
+    def all_of_both(self, rows: DataFrame, between: DataFrame) -> DataFrame:
+        across = between.select("h", "ba", "ca", "bb", "cb", "lowb", "highb", "mostb")
         side = lambda s: rows.select("h", F.col("band").alias(f"b{s}"), F.col("c").alias(f"c{s}"), F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"p{s}"), F.col("cells").alias(f"x{s}"))
         ones = across.join(side("a"), ["h", "ba", "ca"]).where((100 * F.col("na") >= self.percent * F.col("lowb")) & (100 * F.col("highb") >= self.percent * F.col("na")) & self.overlap_fits("xa", "mostb", "na", "lowb"))
         return self.passing(ones.drop("lowb", "highb", "mostb").join(side("b"), ["h", "bb", "cb"]))
@@ -316,17 +316,26 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         scratch.drop(rows)
         return out, True
 
-    def pairs_of(kind: str, turn: int) -> DataFrame:
-        if kind == "one":
-            return join.with_one(rows, turn)
+    def paired(rows: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+        """The rows of groups that can hold a link with another group at their shingle, and the pairs of such groups. The others are done with: when components
+        grow, there are only fewer documents elsewhere to link with."""
         groups = scratch.keep(join.groups(rows, turn))
-        return join.one_of_both(groups) if kind == "groups" else join.all_of_both(rows, groups)
+        between = scratch.keep(join.between(groups).drop("mosta", "lowa", "higha"))
+        sides = between.select("h", F.col("ba").alias("band"), F.col("ca").alias("c")).union(between.select("h", "bb", "cb")).distinct()
+        out = scratch.keep(rows.join(sides, ["h", "band", "c"], "left_semi"))
+        scratch.drop(rows, groups)
+        return out, between
 
     for kind, turns in (("one", ROUNDS), ("groups", GROUP_ROUNDS), ("all", 1)):
         for turn in range(turns):
+            between = None
+            if kind != "one" and not rows.isEmpty():
+                rows, between = paired(rows, turn)
             if rows.isEmpty():
                 break
-            rows, more = settle(rows, pairs_of(kind, turn))
+            pairs = join.with_one(rows, turn) if kind == "one" else join.one_of_both(between) if kind == "groups" else join.all_of_both(rows, between)
+            rows, more = settle(rows, pairs)
+            scratch.drop(between)
             if not more:
                 break
     scratch.drop(rows, *checked)
