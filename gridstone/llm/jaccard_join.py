@@ -11,8 +11,8 @@ their sets is at least the threshold. Steps:
    of shingles with the same documents one is joined. Length (a similar set has at least 0.8 of the size), position (what can follow a
    shared shingle) and suffix (how many shared shingles both have in each of 32 cells of the hashes, which bounds their overlap) discard pairs
    before any verification. Shingles of very many documents are joined in salted parts.
-4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, in a few rounds, which are
-   linear in the prefixes; then, between the components that these links make, one pair for each two groups (a component's documents at
+4. Pairs are verified in turns: first each document with one other of its size class for each of its prefix shingles, which is linear in the prefixes
+   (a second such turn finds next to nothing); then, between the components that these links make, one pair for each two groups (a component's documents at
    a shingle) that can hold a link, in a few rounds; then every other pair of the join between components, with the filters inside the
    join, first for a group's documents together. Documents of a group that can't hold a link with any other group at its shingle leave the join. A pair within a component can't change it, so no group of near copies is spelled out as pairs. Pairs that
    have been verified are remembered, so that each is verified once, and turns end as soon as no shingle joins two components.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import BASE_B, U64, Scratch, Texts, bucket_of, by_bucket, column, components, group_starts, mix, prefix_sums, range_hashes, slices, squeezed, table, unsqueezed
 
-WORDS, PERCENT, TILE, CELLS, ROUNDS, GROUP_ROUNDS = 5, 80, 256, 32, 2, 3
+WORDS, PERCENT, TILE, CELLS, ROUNDS, GROUP_ROUNDS = 5, 80, 256, 32, 1, 3
 PER_BUCKET = 1 << 20  # shingles of a bucket, about
 FREQUENT = 100  # a shingle of more than one document in so many is frequent
 SALTED = 4096  # documents of a shingle that are joined in one part, about
@@ -299,7 +299,7 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     join, rows = Prefixes(percent), prefix_rows(sets, percent, scratch)
     links, checked = [], []
 
-    def settle(rows: DataFrame, pairs: DataFrame) -> tuple[DataFrame, bool]:
+    def settle(rows: DataFrame, pairs: DataFrame, last: bool) -> tuple[DataFrame, bool]:
         """Verifies the pairs that haven't been; rows that are still open, with their new components, and whether there was a new link."""
         for before in checked:
             pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
@@ -307,13 +307,13 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         if checked[-1].isEmpty():
             return rows, False
         links.append(scratch.keep(verified(checked[-1], sets, percent)))
-        if links[-1].isEmpty():
+        if last or links[-1].isEmpty():
             return rows, False
         joined = components(links[-1].select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch).select(F.col("node").alias("c"), "component")
-        moved = rows.join(joined, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
+        moved = scratch.keep(rows.join(joined, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component"))
         several = moved.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("salts").alias("salts")).where("c0 < c1").select("h", F.explode(F.sequence(F.lit(0), F.col("salts"))).alias("salt"))
         out = scratch.keep(moved.join(several, ["h", "salt"], "left_semi"))
-        scratch.drop(rows)
+        scratch.drop(rows, moved)
         return out, True
 
     def paired(rows: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
@@ -334,7 +334,7 @@ def links_between(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
             if rows.isEmpty():
                 break
             pairs = join.with_one(rows, turn) if kind == "one" else join.one_of_both(between) if kind == "groups" else join.all_of_both(rows, between)
-            rows, more = settle(rows, pairs)
+            rows, more = settle(rows, pairs, kind == "all")
             scratch.drop(between)
             if not more:
                 break
