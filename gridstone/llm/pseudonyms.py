@@ -11,7 +11,9 @@ Kinds: e-mail addresses (their local part), payment cards, IBANs, IPv4 addresses
 
 Nulls: a null text stays null and has nothing found; other columns are carried along whatever their names, except that results replace
 columns of their own names. Repeated rows are treated alike. An empty table gives an empty result. Very long texts are scanned whole, by patterns
-that don't backtrack over more than a value's length. Domains of under two digits are shifted rather than permuted.
+that don't backtrack over more than a value's length. No part of a value that has letters or digits to change comes back unchanged; a single one is moved by a keyed step.
+
+Telephone numbers are found with an area code in brackets, in groups of three, three and four digits with hyphens or points between, or after a plus sign.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ PATTERN = re.compile(
     |(?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d))
     |(?P<date>(?<![\d.\-/])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\d\-/]))
     |(?P<ssn>(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-]))
-    |(?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
+    |(?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+.-])\d{3}-\d{3}-\d{4}(?![\d-])|(?<![\d+.-])\d{3}\.\d{3}\.\d{4}(?![\d.])|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
     |(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d))""",
     re.VERBOSE,
 )
@@ -57,7 +59,10 @@ class Feistel:
         self.key, self.rounds = hashlib.blake2b(key, digest_size=32).digest(), rounds
 
     def number(self, x: int, tweak: str, radix: int, digits: int) -> int:
-        """A permutation of 0 .. radix**digits - 1, another one for each tweak, radix and number of digits."""
+        """A permutation of 0 .. radix**digits - 1 that leaves nothing where it is, another one for each tweak, radix and number of digits.
+
+        The network puts the numbers in a keyed order, and each goes to the next one in it: one cycle through all of them. A single digit moves by a keyed step.
+        """
         low = digits // 2
         a_size, b_size = radix ** (digits - low), radix**low
         head = f"{tweak}/{radix}/{digits}/".encode()
@@ -65,12 +70,16 @@ class Feistel:
         def f(i: int, half: int) -> int:
             return int.from_bytes(hashlib.blake2b(head + b"%d/%d" % (i, half), key=self.key, digest_size=32).digest(), "big")
 
-        a, b = divmod(x, b_size)
         if low == 0:
-            return (x + f(0, 0)) % a_size
+            return (x + 1 + f(0, 0) % (a_size - 1)) % a_size
+        a, b = divmod(x, b_size)
         for i in range(0, self.rounds, 2):
             a = (a + f(i, b)) % a_size
             b = (b + f(i + 1, a)) % b_size
+        a, b = divmod((a * b_size + b + 1) % (a_size * b_size), b_size)
+        for i in reversed(range(0, self.rounds, 2)):
+            b = (b - f(i + 1, a)) % b_size
+            a = (a - f(i, b)) % a_size
         return a * b_size + b
 
     def below(self, x: int, n: int, tweak: str) -> int:
@@ -111,6 +120,12 @@ def issued(number: str) -> bool:
     )
 
 
+def country_code(digits: str) -> str:
+    """The calling code that an international number begins with: 1 and 7 stand alone, the others listed have two digits, the rest three (fixed values)."""
+    two = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in two else 3]
+
+
 def iban_number(country_check: str, account: str) -> int:
     return int("".join(str(int(c, 36)) for c in account + country_check))
 
@@ -133,10 +148,12 @@ def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
         payload = digits[:keep] + feistel.string(digits[keep:-1], f"card/{digits[:keep]}")
         return laid_out(value, payload + check_digit(payload))
     if kind == "phone":
-        country = re.match(r"\+\d{1,3}(?=[ .(-])", value)
-        at = country.end() if country else 0
-        own = "".join(c for c in value[at:] if c.isdigit())
-        return value[:at] + laid_out(value[at:], feistel.string(own, f"phone/{value[:at]}")) if len(digits) >= 8 else None
+        if len(digits) < 8:
+            return None
+        # all layouts of a number, with its country code or (in the North American plan) without, share one permutation of what follows the code
+        code = country_code(digits) if value[0] == "+" else ""
+        own = feistel.string(digits[len(code) :], f"phone/{code or 1}")
+        return laid_out(value, code + own)
     if kind == "ip":
         octets = [int(x) for x in value.split(".")]
         if max(octets) > 255 or any(len(x) > 1 and x[0] == "0" for x in value.split(".")):

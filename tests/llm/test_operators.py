@@ -308,6 +308,21 @@ def test_pseudonyms_of_values_alone_in_a_text(spark):
     assert pseudonyms.replaced("2024: +49 30 123 456", pseudonyms.Feistel(b"k"))[0] == f"2024: {new['+49 30 123 456']}"
 
 
+def test_pseudonyms_link_layouts_and_change_everything():
+    f = pseudonyms.Feistel(b"k")
+    digits = lambda v: "".join(c for c in v if c.isdigit())
+    forms = ["+1 555 123 4567", "+15551234567", "(555) 123-4567", "555-123-4567", "555.123.4567", "+1 (555) 123-4567"]
+    new = [pseudonyms.replaced(f"call {x} now", f) for x in forms]
+    assert all(found == {"phone": 1} for _, found in new) and len({digits(t)[-10:] for t, _ in new}) == 1 and digits(new[0][0])[-10:] != "5551234567"
+    assert [digits(t)[:-10] for t, _ in new] == ["1", "1", "", "", "", "1"]
+    a, b = (digits(pseudonyms.replaced(x, f)[0]) for x in ("+49 30 123 456", "+4930123456"))
+    assert a == b and a[:2] == "49" and a != "4930123456"
+    for radix, n in ((26, 1), (10, 1), (10, 2), (26, 2), (10, 3)):
+        assert all(f.number(i, "t", radix, n) != i for i in range(radix**n))
+    for i in range(300):
+        assert pseudonyms.replaced(f"a@d{i}.com", f)[0] != f"a@d{i}.com"
+
+
 def test_feistel_permutes():
     f = pseudonyms.Feistel(b"k")
     for digits in (1, 2, 3):
@@ -359,6 +374,8 @@ def test_empty_tables(docs, spark):
     assert line_dedup.dedup_lines(none).count() == 0 and quality_rules.judged(none).count() == 0
     assert best_fit.pack(none).count() == 0 and lattice_lm.scored(none).count() == 0
     assert pseudonyms.pseudonymised(none, b"k").count() == 0
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string, c int")
+    assert chat_format.read_back(chat_format.format_conversations(turns)).count() == 0
 
 
 def test_components(spark):
