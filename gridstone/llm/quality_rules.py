@@ -4,7 +4,8 @@ Each rule is a Boolean column that is true where a text fails. On a bounded samp
 costs and how many of the sampled texts that pass the base rule it rejects, and then runs the rules in the order of rejection per cost inside
 one ``CASE``, whose later branches are not evaluated for a text that an earlier branch has rejected. The order changes
 the cost only; the verdict is the same in any order. A rule's cost is the least time of three runs over the sample, less that of a rule that looks at nothing,
-so that planning and scheduling don't count. The sample is the first rows that Spark finds; it stays in the executors.
+so that planning and scheduling don't count. The sample is the first rows of at most SAMPLE_CHARS characters that Spark finds, read from as few partitions as hold
+enough of them.
 
 ``judged`` returns every statistic of every text, so only the six further rules are in its cascade. ``keep_quality`` needs the verdict alone: its cascade also
 holds the base rule's repeated words, and a statistic is computed only in the branch that needs it.
@@ -28,6 +29,8 @@ from .common import table
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
+#: Characters of a sampled text at most, so that the sample, which passes through the driver, has a bounded size. It sets the order of the rules only.
+SAMPLE_CHARS = 16_384
 Values = Callable[[str], Column]
 
 
@@ -124,7 +127,10 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
 def cascade_order(docs: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 512, precomputed: bool = True) -> list[Rule]:
     """rules, those that reject most per second first, among texts that pass the base rule or, without precomputed statistics, its number of words."""
-    sample = with_statistics(docs.select("text").limit(sample_rows)).cache()
+    rows = docs.select("text").where(F.length("text") <= SAMPLE_CHARS).take(sample_rows)
+    if not rows:
+        return list(rules)
+    sample = cached = with_statistics(docs.sparkSession.createDataFrame(rows, "text string").coalesce(1)).cache()
     sample = sample.where(~F.col("base_failed") if precomputed else F.col("n_words") >= LEAST_WORDS)
     x = known if precomputed else values(F.col("text_"), F.col("words"), F.col("n_words"), F.col("word_chars"))
 
@@ -140,7 +146,7 @@ def cascade_order(docs: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 5
     for rule in rules:
         seconds, rejected = min(run(rule.fails(x)) for _ in range(3))
         found.append((rejected / max(1e-4, seconds - least), rule))
-    sample.unpersist()
+    cached.unpersist()
     return [rule for _, rule in sorted(found, key=lambda x: -x[0])]
 
 
