@@ -189,13 +189,25 @@ def candidate_runs(docs: DataFrame, unit: Unit, most: int = 1 << 20) -> DataFram
             run = group_starts(place, of)
             count = np.diff(np.append(run, len(at)))
             ids, start, key = column(b, "doc_id")[of[run]], at[run] - first[of[run]], key[run]
-            yield pack_rows([(x, squeezed(ids[i]), squeezed(start[i]), squeezed(count[i].astype(np.uint32)), key[i].tobytes(), None, None) for x, i in by_bucket(bucket_of(mix(key), n), n)])
+            # of equal k-grams in a slice one is sent to their bucket, with a mark that it has others; these are settled here
+            order = np.argsort(key, kind="stable")
+            head = group_starts(key[order])
+            size = np.diff(np.append(head, len(key)))
+            i, others = order[head], np.delete(order, head)
+            key, marks = key[i], (size > 1).astype(np.uint32)
+            rows = [(x, squeezed(ids[i[j]]), squeezed(start[i[j]]), squeezed(count[i[j]].astype(np.uint32)), key[j].tobytes(), marks[j].tobytes(), None) for x, j in by_bucket(bucket_of(mix(key), n), n)]
+            if len(others):
+                nowhere = np.zeros(len(others), np.int64)
+                done = pa.table([pa.array(x.astype(np.int64)) for x in (ids[others], start[others], count[others], nowhere, nowhere)], COLUMNS)
+                rows.append((int(mix(ids[:1].astype(U64))[0] % U64(n)), None, None, None, None, None, as_bytes(done)))
+            yield pack_rows(rows)
 
     def several(t: pa.Table) -> pa.Table:
-        ids, starts, counts, keys, _ = unpacked(t)
+        ids, starts, counts, keys, marks = unpacked(t)
         _, back, size = np.unique(keys, return_inverse=True, return_counts=True)
-        w = size[back] > 1
-        return pa.table([pa.array(x[w]) for x in (ids, starts, counts)], ["doc_id", "start", "windows"])
+        w = (size[back] > 1) | (marks > 0)
+        names = COLUMNS[:3]
+        return pa.concat_tables([pa.table([pa.array(x[w]) for x in (ids, starts, counts)], names), *(from_bytes(x).select(names) for x in t.column("done").to_pylist() if x is not None)])
 
     packed = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(spread, PACKED)
     return packed.groupBy("bucket").applyInArrow(several, "doc_id long, start long, windows long")

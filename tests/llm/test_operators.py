@@ -145,6 +145,29 @@ def test_suffix_dedup(docs, corpus):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got if r.doc_id is not None} == want
 
 
+def test_suffix_dedup_of_a_passage_in_a_third_of_all_documents(spark):
+    """The rows don't depend on which documents share a slice, and equal brute force; whole copies and repeats within a document included."""
+    rng = random.Random(5)
+    say = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage, n = say(700), 400
+    texts = [say(300) + (passage if i % 3 == 0 else "") + say(300) for i in range(45)] + [passage + passage[:450], passage, passage, None, ""]
+    data = [(i, x) for i, x in enumerate(texts)]
+    raw = [(x or "").encode() for x in texts]
+    where = {}
+    for i, b in enumerate(raw):
+        for at in range(len(b) - n + 1):
+            where.setdefault(b[at : at + n], []).append((i, at))
+    gone = {i: set() for i in range(len(raw))}
+    for places in where.values():
+        for i, at in places if len(places) > 1 else ():
+            gone[i].update(range(at, at + n))
+    expected = [(i, len(gone[i]), bytes(c for at, c in enumerate(b) if at not in gone[i])) for i, b in enumerate(raw)]
+    for parts in (1, 5, 25):
+        docs = spark.createDataFrame(data, "doc_id long, text string").repartition(parts)
+        got = suffix_dedup.kept_bytes(docs, suffix_dedup.repeated_ranges(docs)).collect()
+        assert sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in got) == expected
+
+
 def test_line_dedup(docs, corpus):
     run, seen, want = line_dedup.RUN_LINES, {}, {}
     for i, t in texts_of(corpus):
