@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import best_fit, chat_format, decontaminate, jaccard_join, lattice_lm, line_dedup, pseudonyms, quality_rules, substring_dedup, suffix_dedup
+from . import best_fit, chat_format, decontaminate, dialog_repair, jaccard_join, lattice_lm, line_dedup, phrase_graph, piecewise_hash, pseudonyms, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.query,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_best_fit_packing": best_fit.query,
     "op9_suffix_array_dedup": suffix_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_phrase_collocations": phrase_graph.query,
+    "op12_conversation_repair": dialog_repair.query,
+    "op13_document_fingerprints": piecewise_hash.query,
 }
 
 ORACLES = {
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_chat_formatting": chat_format.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_phrase_collocations": phrase_graph.ORACLE,
 }
