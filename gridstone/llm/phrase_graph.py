@@ -7,8 +7,8 @@ A phrase whose whole flow goes through one longer edge, on its right or its left
 a phrase, looking at the phrases with one word more is enough. What isn't compacted is scored by its cuts.
 
 Thinning: a word, or two neighbours, that occur less than the least count can't be within a phrase that occurs so often, so a piece ends between them. That leaves all
-counts from the least one on as they are. The frequent words and pairs are sent to all tasks if they take no more than ``broadcast_bytes``; if they take more, the
-pieces stay whole, which costs shuffles and changes no row. Counts are summed in each slice of a task, then by Spark with partial sums; nothing is
+counts from the least one on as they are. Pairs are counted by a hash of 64 bits; one that shares its hash with others is at worst kept without need. The frequent words
+and pairs are sent to all tasks if they take no more than ``broadcast_bytes``; if they take more, the pieces stay whole, which costs shuffles and changes no row. Counts are summed in each slice of a task, then by Spark with partial sums; nothing is
 gathered by a word or a language, and the first rows of a language are found in parts first.
 
 Edges: a null text is empty, a null language is ``und``; repeated rows count as often as they occur; ties are ordered by the phrase's UTF-8 bytes; an
@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, Texts, group_starts, slices, table
+from .common import BASE_A, BASE_B, U64, Scratch, Texts, group_starts, mix, prefix_sums, range_hashes, slices, table
 
 LONGEST, LEAST_COUNT, TOP = 5, 100, 2000
 SPACES, MARKS = b" \t", b".,;:!?\n\v\f\r"
@@ -70,25 +70,26 @@ class Pieces:
         columns = [self.langs.take(pa.array(self.lang[at])).cast(pa.string()), pa.array(np.full(len(at), size, np.int32)), self.phrases(at, size).cast(pa.string()), pa.array(n)]
         return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in COUNTS.split(", ")])
 
-    def known(self, starts: np.ndarray, key: np.ndarray, size: int, frequent: dict[str, pa.Array] | None) -> np.ndarray:
-        """Which of the grams at starts are frequent in their language; all where that isn't known."""
+    def known(self, frequent: dict[str, pa.Array] | None) -> np.ndarray:
+        """Which words are frequent in their language; all where that isn't known."""
         if frequent is None:
-            return np.ones(len(starts), bool)
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        at = starts[first]
-        found, names, of = np.zeros(len(at), bool), self.phrases(at, size), self.lang[at]
+            return np.ones(len(self.word), bool)
+        found = np.zeros((len(self.langs), len(self.words)), bool)
         for i, lang in enumerate(self.langs.to_pylist()):
-            mine = np.flatnonzero(of == i)
-            found[mine] = pa.compute.is_in(names.take(pa.array(mine)), frequent.get(lang, pa.array([], pa.large_string()))).to_numpy(zero_copy_only=False)
-        return found[back]
+            found[i] = pa.compute.is_in(self.words, frequent.get(lang, pa.array([], pa.large_string()))).to_numpy(zero_copy_only=False)
+        return found[self.lang, self.word]
 
     def pairs(self, frequent: dict[str, pa.Array] | None) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and keys of the neighbouring words of a piece that are both frequent."""
-        at = np.arange(len(self.word))
-        one = self.lang * len(self.words) + self.word
-        good = self.known(at, one, 1, frequent)
+        """Starts of the neighbouring words of a piece that are both frequent, and hashes of the pair and its language."""
+        good = self.known(frequent)
         at = np.flatnonzero((self.piece[:-1] == self.piece[1:]) & good[:-1] & good[1:])
-        return at, one[at] * len(self.words) + self.word[at + 1]
+        word, lang = hashes(self.words), hashes(self.langs)
+        return at, mix(word[self.word[at]] * U64(BASE_B) + word[self.word[at + 1]] + mix(lang[self.lang[at]])).view(np.int64)
+
+
+def hashes(strings: pa.Array) -> np.ndarray:
+    texts = Texts(strings)
+    return range_hashes(prefix_sums(texts.raw + U64(1), BASE_A), texts.bounds[:-1], texts.bounds[1:], BASE_A)
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,25 +101,26 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pair_counts(words: dict[str, pa.Array] | None):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            p = Pieces(batch)
-            yield p.counted(*p.pairs(words), 2)
+            pair, n = np.unique(Pieces(batch).pairs(words)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
 
     return each
 
 
-def edge_counts(words: dict[str, pa.Array] | None, pairs: dict[str, pa.Array] | None):
-    """The graph's edges, and the shorter grams that end a piece."""
+def edge_counts(words: dict[str, pa.Array] | None, pairs: np.ndarray | None):
+    """The graph's edges, and the shorter grams that end a piece. pairs: hashes of those to keep, sorted."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             p = Pieces(batch)
             at, key = p.pairs(words)
-            good = p.known(at, key, 2, pairs)
-            at, key = at[good], key[good]  # neighbours within a piece; a run of them is what is left of it
+            if pairs is not None:
+                good = pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key if len(pairs) else np.zeros(len(key), bool)
+                at, key = at[good], key[good]  # a run of neighbours is what is left of a piece
             fresh = np.zeros(len(at), bool)
             fresh[group_starts(at - np.arange(len(at)))] = True
             run = np.cumsum(fresh)
-            size, names = 2, np.unique(key, return_inverse=True)[1]
+            size, names = 2, np.unique((p.lang[at] * len(p.words) + p.word[at]) * len(p.words) + p.word[at + 1], return_inverse=True)[1]
             while True:  # names: numbers of the grams of this size that begin at at[i], for those that do
                 last = np.flatnonzero(np.append(run[1:] != run[:-1], True)) if len(run) else run
                 if size == LONGEST:
@@ -204,8 +206,9 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP, broa
     frequent = sent(often, broadcast_bytes)
     pairs = None
     if frequent is not None:
-        heavy = scratch.keep(summed(texts.mapInArrow(pair_counts(frequent), COUNTS)).where(F.col("n") >= least))
-        pairs = sent(heavy, broadcast_bytes)
+        heavy = scratch.keep(texts.mapInArrow(pair_counts(frequent), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair"))
+        if heavy.count() * 8 <= broadcast_bytes:
+            pairs = np.sort(heavy.toArrow()["pair"].to_numpy())
         scratch.drop(heavy)
     grams = scratch.keep(summed(texts.mapInArrow(edge_counts(frequent, pairs), COUNTS)))
     of_size = {LONGEST: grams.where(F.col("size") == LONGEST)}
