@@ -92,6 +92,21 @@ def hashes(strings: pa.Array) -> np.ndarray:
     return range_hashes(prefix_sums(texts.raw + U64(1), BASE_A), texts.bounds[:-1], texts.bounds[1:], BASE_A)
 
 
+def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's slices, added up while they have no more than so many rows."""
+    held, n = [], 0
+    for batch in counts:
+        held.append(batch)
+        n += batch.num_rows
+        if n > most:
+            held = pa.Table.from_batches(held).group_by(batch.schema.names[:-1]).aggregate([("n", "sum")]).rename_columns(batch.schema.names).to_batches()
+            n = sum(b.num_rows for b in held)
+            if 2 * n > most:
+                yield from held
+                held, n = [], 0
+    yield from held
+
+
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         p = Pieces(batch)
@@ -108,7 +123,7 @@ def pair_counts(words: dict[str, pa.Array] | None):
 
 
 def edge_counts(words: dict[str, pa.Array] | None, pairs: np.ndarray | None):
-    """The graph's edges, and the shorter grams that end a piece. pairs: hashes of those to keep, sorted."""
+    """The graph's edges, and for each piece its tail: the last words of it, one less than an edge has or all there are. pairs: hashes of those to keep, sorted."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -122,11 +137,14 @@ def edge_counts(words: dict[str, pa.Array] | None, pairs: np.ndarray | None):
             run = np.cumsum(fresh)
             size, names = 2, np.unique((p.lang[at] * len(p.words) + p.word[at]) * len(p.words) + p.word[at + 1], return_inverse=True)[1]
             while True:  # names: numbers of the grams of this size that begin at at[i], for those that do
-                last = np.flatnonzero(np.append(run[1:] != run[:-1], True)) if len(run) else run
                 if size == LONGEST:
                     yield p.counted(at, names, size)
                     break
-                yield p.counted(at[last], names[last], size)
+                tail, first = np.ones(len(run), bool), np.ones(len(run), bool)
+                tail[:-1] = first[1:] = run[1:] != run[:-1]
+                if size < LONGEST - 1:
+                    tail &= first  # the piece has no more words
+                yield p.counted(at[tail], names[tail], size)
                 on = np.flatnonzero(run[:-1] == run[1:])
                 # two neighbouring grams of one size are a gram of the next
                 names = np.unique(names[on] * (int(names.max()) + 1 if len(names) else 1) + names[on + 1], return_inverse=True)[1]
@@ -156,13 +174,16 @@ def first_words(phrase: Column, size: int | Column) -> Column:
 
 
 def rest_words(phrase: Column, size: int | Column) -> Column:
-    return F.array_join(F.slice(F.split(phrase, " "), F.lit(size) + 1, F.size(F.split(phrase, " ")) - size), " ")
+    """phrase without so many words at its beginning."""
+    size = F.lit(size) if isinstance(size, int) else size
+    return F.array_join(F.slice(F.split(phrase, " "), size + 1, F.size(F.split(phrase, " ")) - size), " ")
 
 
-def flows(grams: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+def flows(longer: DataFrame, tails: DataFrame, size: int) -> DataFrame:
     """Counts of the nodes of this size: what the grams of one word more that leave them carry, and the pieces that end with them."""
-    leaving = grams.select("lang", first_words(F.col("phrase"), size).alias("phrase"), "n")
-    return leaving.unionByName(ends.where(F.col("size") == size).select("lang", "phrase", "n")).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).withColumn("size", F.lit(size))
+    leaving = longer.select("lang", first_words(F.col("phrase"), size).alias("phrase"), "n")
+    ending = tails.where(F.col("size").between(size, LONGEST - 1)).select("lang", rest_words(F.col("phrase"), F.col("size") - size).alias("phrase"), "n")
+    return leaving.unionByName(ending).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).withColumn("size", F.lit(size))
 
 
 def compacted(phrases: DataFrame) -> DataFrame:
@@ -210,7 +231,8 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP, broa
         if heavy.count() * 8 <= broadcast_bytes:
             pairs = np.sort(heavy.toArrow()["pair"].to_numpy())
         scratch.drop(heavy)
-    grams = scratch.keep(summed(texts.mapInArrow(edge_counts(frequent, pairs), COUNTS)))
+    each = edge_counts(frequent, pairs)
+    grams = scratch.keep(summed(texts.mapInArrow(lambda batches: merged(each(batches)), COUNTS)))
     of_size = {LONGEST: grams.where(F.col("size") == LONGEST)}
     for size in range(LONGEST - 1, 1, -1):
         of_size[size] = scratch.keep(flows(of_size[size + 1], grams, size))
