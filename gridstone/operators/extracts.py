@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
+from . import ranks
 
 
 def without_nan(df: DataFrame) -> DataFrame:
@@ -45,8 +46,8 @@ def top(df: DataFrame, by: Column, entity: str, n: int) -> DataFrame:
 
 
 def ranked(df: DataFrame, by: Column, entity: str) -> DataFrame:
-    """All rows of a bounded table with their rank by a value."""
-    return df.where(by.isNotNull()).withColumn("rank", F.row_number().over(Window.orderBy(by.desc(), entity)))
+    """All rows with their rank by a value, the largest first."""
+    return ranks.positions(df.where(by.isNotNull()).withColumn("by_", by), [ranks.By("by_", True), entity], row_number="rank").drop("by_")
 
 
 def most_complete(pyramid: DataFrame, at_least: int = 5) -> DataFrame:

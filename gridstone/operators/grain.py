@@ -41,7 +41,7 @@ def conform(df: DataFrame, code: Column, mapping: DataFrame, name: str) -> DataF
 
 
 def surrogate_keys(df: DataFrame, order: str, name: str, start: int = 1) -> DataFrame:
-    """Dense keys in the order of a column, for dimensions small enough for one task."""
+    """Dense keys in the order of a column, for literal code lists; ``ranks.positions`` and ``ranks.stable_keys`` are for dimensions that grow."""
     from pyspark.sql import Window
 
     return df.withColumn(name, F.row_number().over(Window.orderBy(F.col(order).asc_nulls_last())) + F.lit(start - 1))

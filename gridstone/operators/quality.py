@@ -124,10 +124,14 @@ def totals_reconcile(df: DataFrame, group: list[str], code: str, value: str, exp
     return result(one, "total_reconciliation", "consistency", F.when(F.col("x").isNull(), "WARN").otherwise(verdict(F.col("bad") == 0)), F.col("x"), tolerance, "error", said(f"%d of %d complete groups beyond {tolerance} %%", F.col("bad"), F.col("n")))
 
 
+def freshness_row(newest: Column, as_of: str, most_days: int) -> Column:
+    days = F.datediff(F.lit(as_of).cast("date"), newest)
+    return row("freshness", "timeliness", verdict(days <= most_days), days, most_days, "warning", F.coalesce(said("newest: %s", newest.cast("string")), F.lit("no time parses")))
+
+
 def freshness(df: DataFrame, column: str, as_of: str, most_days: int = 900) -> DataFrame:
     one = df.agg(F.max(F.to_date(F.try_to_timestamp(F.col(column).cast("string")))).alias("d"))
-    days = F.datediff(F.lit(as_of).cast("date"), F.col("d"))
-    return result(one, "freshness", "timeliness", verdict(days <= most_days), days, most_days, "warning", F.coalesce(said("newest: %s", F.col("d").cast("string")), F.lit("no time parses")))
+    return one.select(freshness_row(F.col("d"), as_of, most_days).alias("r")).select("r.*")
 
 
 def coverage(df: DataFrame, column: str, expected: DataFrame, expected_column: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio, sum_if, tier
+from . import ranks
 
 TOTALS = "measure = 'headcount_total' and sex_code = 'T'"
 BANDS = "measure = 'headcount_by_age' and sex_code = 'T'"
@@ -81,12 +82,11 @@ def age_pyramid(workers: DataFrame) -> DataFrame:
 
 
 def regional_risk(regional: DataFrame, people: DataFrame, cuts: tuple[float, float, float] = (2, 5, 10)) -> DataFrame:
-    """Density of each region's latest year against its population, with quartile and tier."""
+    """Density of each region's latest year against its population, with quartile (exact, by ranges of the density) and tier."""
     latest = regional.groupBy("region_code").agg(F.max_by("measure_value", "year").alias("workers"), F.max("year").alias("year"))
     a = latest.join(people, "region_code").select("region_code", "year", "workers", "population", ratio(F.col("workers"), F.col("population"), 1000).alias("workers_per_1000"))
-    quartile = F.ntile(4).over(Window.orderBy(F.col("workers_per_1000").asc_nulls_last(), "region_code"))
     low, mid, high = cuts
-    return a.select("*", quartile.alias("density_quartile"), tier(F.col("workers_per_1000"), [(high, "good"), (mid, "adequate"), (low, "low")], "critical").alias("access_tier"))
+    return ranks.ntile(a, ["workers_per_1000", "region_code"], 4, "density_quartile").select("*", tier(F.col("workers_per_1000"), [(high, "good"), (mid, "adequate"), (low, "low")], "critical").alias("access_tier"))
 
 
 # --- dimensions ---------------------------------------------------------------------------------------------------

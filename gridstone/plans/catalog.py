@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_missing, number, ratio, sum_if, tier
-from ..operators import facts, forecast, grain, hierarchy, quality, views
+from ..operators import facts, forecast, grain, hierarchy, quality, ranks, views
 from ..sources import cubes
 from . import adapter as A
 
@@ -149,7 +149,7 @@ def dim_region(spark, d):
     seen = A.placed_orders(spark, d).select(F.concat_ws("-", "n_name", "o_orderstatus").alias("region_code"))
     codes = official.select(F.col("n_name").alias("region_code")).union(seen).distinct().join(F.broadcast(official), F.col("region_code") == F.col("n_name"), "left")
     rows = codes.select("region_code", F.coalesce("n_name", "region_code").alias("region_name"), F.when(F.col("n_name").isNotNull(), 1).alias("region_level"))
-    return grain.surrogate_keys(rows, "region_code", "region_key")
+    return ranks.positions(rows, ["region_code"], row_number="region_key")
 
 
 query("d8_dim_date", "SELECT y - 1899 AS date_key, y AS year, make_date(y, 1, 1) AS date, y <= 1999 AS is_observed, y > 1999 AS is_projection, (y // 10) * 10 AS decade FROM (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 6))::INT AS y FROM orders)")(
