@@ -21,7 +21,7 @@ from ..functions.columns import ratio, sum_if, tier
 
 
 #: References and thresholds of the published formulas (fixed values).
-CONSTANTS = {"beds_per_nurse": 0.8, "icu_share": 0.04, "retirement": 0.6, "coverage": 12.0, "population": 50_000.0, "direction": 0.01}
+CONSTANTS = {"beds_per_nurse": 0.8, "icu_share": 0.04, "retirement": 0.6, "coverage": 12.0, "population": 50_000.0, "direction": 0.01, "change_years": 5}
 
 
 @dataclass(frozen=True)
@@ -120,8 +120,13 @@ def near_retirement(star: Star, groups: list[str]) -> DataFrame:
 
 
 def worker_population_ratio(star: Star, groups: list[str]) -> DataFrame:
-    people = by(latest(star.population.where("sex_code = 'T'"), groups), groups, people=F.sum("population"))
-    return chosen(meet(groups, total_of(None)(star, groups), people), groups, ratio(F.col("value"), F.col("people"), 1000))
+    """Workers per 1000 people, both of the latest year that both facts have."""
+    heads, folk = headcounts(star), star.population.where("sex_code = 'T'")
+    if "year" not in groups:
+        last = F.broadcast(heads.select("year").distinct().join(folk.select("year").distinct(), "year").agg(F.max("year").alias("year")))
+        heads, folk = heads.join(last, "year", "left_semi"), folk.join(last, "year", "left_semi")
+    both = meet(groups, by(heads, groups, workers=F.sum("workers")), by(folk, groups, people=F.sum("population")))
+    return chosen(both, groups, ratio(F.col("workers"), F.col("people"), 1000))
 
 
 def weighted_coverage(star: Star, groups: list[str]) -> DataFrame:
@@ -298,8 +303,9 @@ def forecast_gap(star: Star, groups: list[str]) -> DataFrame:
     return chosen(meet(groups, need, last), groups, F.round(F.col("required") - F.col("forecast"), 6))
 
 
-def forecast_change(star: Star, groups: list[str], years: int = 4) -> DataFrame:
-    """Change of the last forecast year against the one ``years`` before it."""
+def forecast_change(star: Star, groups: list[str]) -> DataFrame:
+    """Change of the last forecast year against the one that is the constant ``change_years`` before it."""
+    years = star.constant("change_years")
     ends = star.forecast.agg(F.max("year").alias("end"))
     rows = star.forecast.crossJoin(F.broadcast(ends))
     sums = by(rows, groups, a=F.sum(F.when(F.col("year") == F.col("end") - years, F.col("forecast"))), b=F.sum(F.when(F.col("year") == F.col("end"), F.col("forecast"))))
@@ -327,10 +333,3 @@ MEASURES = {
 def measure(star: Star, name: str, *groups: str) -> DataFrame:
     """groups and value of a measure by name."""
     return MEASURES[name](star, list(groups))
-
-
-def card(star: Star, year: int, names: list[str]) -> DataFrame:
-    """measure and value, one row for each of names, in the context of one year: the cross-check of the library against plain SQL."""
-    only = lambda df: None if df is None else df.where(F.col("year") == year)
-    context = Star(only(star.workers), only(star.shortage), only(star.capacity), only(star.population), only(star.regional), only(star.population_regions), star.forecast, star.first, star.second, star.oldest, star.constants)
-    return reduce(DataFrame.unionByName, [measure(context, n).select(F.lit(n).alias("measure"), F.round(F.col("value").cast("double"), 6).alias("value")) for n in names])

@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dimensions, forecast, measures, views
+from ..operators import dimensions, facts, forecast, measure_plan, measures, views
+from ..sources.storage import checkpointed
 from . import adapter as A
 from .catalog import ORACLES, C, N, P, R, S, V1, W, capacity, coverage, people, query, shortage, workers
 
 YEARS_AHEAD = [1, 2, 3, 4, 5]
-CONSTANTS = {"beds_per_nurse": 60.0, "icu_share": 0.3, "coverage": 0.75, "population": 25_000.0, "direction": 0.01}
+CONSTANTS = {"beds_per_nurse": 60.0, "icu_share": 0.3, "coverage": 0.75, "population": 25_000.0, "direction": 0.01, "change_years": 4}
 
 
 def yearly_panel(spark: SparkSession, d: str) -> DataFrame:
-    return workers(spark, d).where(views.TOTALS).select("country_code", "profession_code", F.col("year").alias("period"), F.col("workers").alias("value"))
+    return views_panel(workers(spark, d))
+
+
+def views_panel(staff: DataFrame) -> DataFrame:
+    return staff.where(views.TOTALS).select("country_code", "profession_code", F.col("year").alias("period"), F.col("workers").alias("value"))
 
 
 def forecasts(spark: SparkSession, d: str) -> DataFrame:
@@ -36,6 +41,16 @@ def star(spark: SparkSession, d: str) -> measures.Star:
     )
 
 
+def kept_star(spark: SparkSession, d: str) -> measures.Star:
+    """The star with each fact computed once: shortage and forecasts come from the kept workers, regions and people from the kept population."""
+    staff, folk = checkpointed(workers(spark, d)), checkpointed(people(spark, d))
+    short = facts.shortage(staff, folk, A.pairs(spark, A.PER_1000, "profession_code string, reference_per_1000 double"))
+    ahead = forecast.forecast(views_panel(staff), ["country_code", "profession_code"], YEARS_AHEAD)
+    ahead = ahead.select("country_code", "profession_code", F.col("period").alias("year"), F.col("trend").alias("forecast"), F.col("naive").alias("baseline_forecast"))
+    places = folk.withColumnRenamed("country_code", "region_code").withColumn("is_total", F.lit(True))
+    return measures.Star(staff, short, capacity(spark, d), folk, regions(spark, d), places, ahead, "BUILDING", "HOUSEHOLD", A.OLDEST, CONSTANTS)
+
+
 HC = "hc AS (SELECT * FROM workers WHERE measure = 'headcount_total' AND sex_code = 'T')"
 GS = "gs AS (SELECT country_code, year, sum(required_workers) AS required, sum(actual_workers)::BIGINT AS actual, sum(shortage) AS gap FROM shortage GROUP BY ALL)"
 AG = """ag AS (SELECT country_code, year, sum(workers)::BIGINT AS banded, (sum(workers) FILTER (WHERE age_group_code IN ('B4', 'B5')))::BIGINT AS near, (sum(workers) FILTER (WHERE age_group_code = 'B5'))::BIGINT AS oldest
@@ -115,4 +130,15 @@ query(
   FROM (SELECT (sum(workers) FILTER (WHERE profession_code = 'BUILDING'))::DOUBLE AS d, (sum(workers) FILTER (WHERE profession_code = 'HOUSEHOLD'))::DOUBLE AS n, sum(workers)::DOUBLE AS t FROM hc WHERE year = 1998),
     (SELECT sum(required)::DOUBLE AS r, sum(gap)::DOUBLE AS g, sum(actual)::DOUBLE AS a FROM gs WHERE year = 1998), (SELECT sum(near)::DOUBLE AS near, sum(banded)::DOUBLE AS banded FROM ag WHERE year = 1998), (SELECT sum(beds)::DOUBLE AS beds, sum(icu)::DOUBLE AS icu FROM bd WHERE year = 1998))""",
     W, P, S, C, HC, GS, AG, BD,
-)(lambda s, d: measures.card(star(s, d), 1998, CARD))
+)(lambda s, d: measure_plan.card(kept_star(s, d), 1998, CARD))
+
+ALL_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS measure, {', '.join(c if c in groups else f'NULL::{kind} AS {c}' for c, kind in (('country_code', 'VARCHAR'), ('region_code', 'VARCHAR'), ('year', 'INT')))}, {'NULL::DOUBLE AS value, value AS label' if name.endswith(('tier', 'direction')) else 'round(value::DOUBLE, 6) AS value, NULL::VARCHAR AS label'} FROM ({ORACLES[f'm{number}_{name}']})"
+    for number, name, groups, _, _ in KPIS
+)
+
+
+@query("m46_all_measures", ALL_SQL)
+def all_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Every measure in its grouping from one plan: one aggregate for each fact."""
+    return measure_plan.Plan(kept_star(spark, d), [(name, groups) for _, name, groups, _, _ in KPIS]).rows().withColumn("value", F.round("value", 6))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import ratio, sum_if
 from ..operators import dimensions, extracts, forecast, hierarchy, measures, models, quality, views
 from ..sources import datasets
+from ..sources.storage import checkpointed
 from . import adapter as A
 from .catalog import C, L11, L14, N, ORACLES, P, QUERIES, R, S, SERIES, V1, V2, W, capacity, checks, coverage, cube_decode, levels, people, query, regional, shortage, workers
 from .kpis import FC, GS, HC, forecasts, yearly_panel
@@ -153,7 +154,7 @@ UNION ALL SELECT 'coverage', 'completeness', CASE WHEN avg(h) >= 0.95 THEN 'PASS
 
 def suite(spark, d):
     """The suite on one profession, against the nations outside one region: codes of that region are unknown."""
-    tidy = A.tidy_workers(spark, d).where("profession = 'BUILDING'").drop("profession")
+    tidy = checkpointed(A.tidy_workers(spark, d).where("profession = 'BUILDING'").drop("profession"))  # the suite groups it in several ways
     entities = A.read(spark, d, "nation").where("n_regionkey <> 3").select(F.col("n_name").alias("geo"))
     return quality.assess(tidy, ["geo", "time", "sex", "age"], ["geo", "time", "sex"], "age", "value", 10, entities, "geo", "time", "2003-06-01")
 
@@ -242,5 +243,11 @@ query("x10_breaks_top", f"SELECT series, period, value, deviation_pct, row_numbe
 )
 query("x11_female_share", "SELECT profession_code, country_code, year, pct_female FROM (" + ORACLES["v6_sex_composition"] + ") WHERE female + male > 0")(lambda s, d: extracts.female_share(views.sex_composition(workers(s, d), "F", "O")))
 query("x12_quality_block", f"SELECT 'score' AS name, score AS value FROM ({ORACLES['k10_quality_score']}) UNION ALL SELECT 'gaps', count(*)::DOUBLE FROM ({ORACLES['v9_data_gaps']}) UNION ALL SELECT 'best_mape', min(mape) FROM ({ORACLES['l11_walk_forward']}) UNION ALL SELECT 'regional_rows', count(*)::DOUBLE FROM ({ORACLES['f8_regional']}) UNION ALL SELECT 'regional_countries', count(DISTINCT country_code)::DOUBLE FROM ({ORACLES['f8_regional']})")(
-    lambda s, d: extracts.quality_block(score=quality.score(checks(s, d)).select("score"), gaps=QUERIES["v9_data_gaps"](s, d).agg(F.count(F.lit(1))), best_mape=QUERIES["l11_walk_forward"](s, d).agg(F.min("mape")), regional_rows=regional(s, d).agg(F.count(F.lit(1))), regional_countries=regional(s, d).agg(F.countDistinct("country_code")))
+    lambda s, d: quality_numbers(s, d, checkpointed(regional(s, d)))
 )
+
+
+def quality_numbers(spark, d, kept):
+    """kept: the regional table, computed once."""
+    score, gaps, mape = quality.score(checks(spark, d)).select("score"), QUERIES["v9_data_gaps"](spark, d).agg(F.count(F.lit(1))), QUERIES["l11_walk_forward"](spark, d).agg(F.min("mape"))
+    return extracts.quality_block(score=score, gaps=gaps, best_mape=mape, regional_rows=kept.agg(F.count(F.lit(1))), regional_countries=kept.agg(F.countDistinct("country_code")))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridstone.operators import dimensions, extracts, facts, forecast, grain, hierarchy, measures, models, quality, views
+from gridstone.operators import dimensions, extracts, facts, forecast, grain, hierarchy, measure_plan, measures, models, quality, views
 from gridstone.sources import datasets
 from gridstone.sources.cubes import FLAGS, landing_audit, read_cubes
 
@@ -46,7 +46,7 @@ def test_measures(spark):
     assert got("forecast_change", "country_code") == {"A": -0.5} and got("forecast_direction", "country_code") == {"A": "Shrinking"} and got("forecast_gap", "country_code")["A"] == 65.0
     assert abs(got("equity", "year")[2022] - 1.0) < 1e-12 and got("recruitment_efficiency", "country_code", "year")["B", 2022] == -3.0
     assert abs(got("weighted_coverage", "year")[2022] - 280 / 3) < 1e-6
-    assert {r.measure: r.value for r in measures.card(s, 2022, ["total_second", "workforce_gap"]).collect()} == {"total_second": 200.0, "workforce_gap": 30.0}
+    assert {r.measure: r.value for r in measure_plan.card(s, 2022, ["total_second", "workforce_gap"]).collect()} == {"total_second": 200.0, "workforce_gap": 30.0}
     risk = star(spark, second="PHYS", constants={"beds_per_nurse": 1.5})
     assert measures.hospital_risk(risk, ["country_code"]).where("country_code = 'A'").first().value is not None
     plain, published = (measures.hospital_risk(risk, ["country_code", "year"], x).where("country_code = 'A' and year = 2022").first().value for x in (False, True))
