@@ -71,7 +71,16 @@ def regional(spark, d):
 )
 def cube_decode(spark: SparkSession, d: str) -> DataFrame:
     """Customers by segment as one cube file for each nation, encoded and decoded again."""
-    c = A.read(spark, d, "customer").join(F.broadcast(A.read(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", F.col("c_mktsegment").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return cubes.decode(customer_cubes(customers_of_nations(spark, d)).select("payload"), ["geo", "age"])
+
+
+def customers_of_nations(spark: SparkSession, d: str) -> DataFrame:
+    return A.read(spark, d, "customer").join(F.broadcast(A.read(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def customer_cubes(customers: DataFrame) -> DataFrame:
+    """n_name and payload: a cube of each nation's customers by segment."""
+    c = customers.groupBy("n_name", F.col("c_mktsegment").alias("s")).agg(F.count(F.lit(1)).alias("n"))
     one = c.groupBy("n_name").agg(F.array_sort(F.collect_list(F.struct("s", "n"))).alias("x"))
     index = F.map_from_arrays(F.transform("x", lambda e: e["s"]), F.transform("x", lambda e, i: i))
     keyed = lambda v: F.map_from_entries(F.transform(v, lambda e: F.struct(e["k"], e["v"])))
@@ -86,7 +95,7 @@ def cube_decode(spark: SparkSession, d: str) -> DataFrame:
             keyed(flags).alias("status"),
         )
     )
-    return cubes.decode(one.select(payload.alias("payload")), ["geo", "age"])
+    return one.select("n_name", payload.alias("payload"))
 
 
 @query("s4_missing_values", "SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value = 0) AS zeros, 0::BIGINT AS missing FROM events GROUP BY 1")

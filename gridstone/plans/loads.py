@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, ranks
-from ..sources import promotion
+from ..sources import landing, promotion
+from ..sources.datasets import Dataset, Registry
 from ..sources.storage import shared_folder
 from . import adapter as A
-from .catalog import query
+from .catalog import customer_cubes, customers_of_nations, query
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -86,3 +87,26 @@ def price_ranks(spark: SparkSession, d: str) -> DataFrame:
     placed = ranks.ntile(ranks.positions(orders, [price, "o_orderkey"], row_number="place"), [price, "o_orderkey"], 100, "percentile")
     placed = ranks.value_ranks(ranks.value_ranks(placed, [price], "price_rank"), ["o_orderpriority"], "rows_before", "priority_rank")
     return placed.select("o_orderkey", "place", "price_rank", "priority_rank", "percentile")
+
+
+# --- landings -----------------------------------------------------------------------------------------------------
+
+
+@query(
+    "s8_incremental_landing",
+    """SELECT n_name AS geo, c_mktsegment AS age, count(*)::DOUBLE AS value, (CASE WHEN n_regionkey = 1 THEN 2 ELSE 1 END)::INT AS landing, 'segments' AS dataset_code,
+  (SELECT count(DISTINCT c_nationkey) FROM customer) AS files_first, (SELECT count(DISTINCT c_nationkey) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1 AND c_acctbal > 0) AS files_second
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 1 OR c_acctbal > 0 GROUP BY n_name, c_mktsegment, n_regionkey""",
+)
+def incremental_landing(spark: SparkSession, d: str) -> DataFrame:
+    """A cube file for each nation lands; one region's files are replaced (customers with a balance), and the second landing decodes those alone."""
+    folder = run_folder(spark, "landing")
+    registry = Registry().add("customers", Dataset("segments", "Customers by segment", ("geo", "age")))
+    taken = landing.Landing(spark, f"{folder}/landed", registry)
+    customers, inbox = customers_of_nations(spark, d), f"{folder}/inbox"
+    write = lambda df: customer_cubes(df).repartition("n_name").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("n_name").text(f"{inbox}/segments")
+    write(customers)
+    first = taken.land(inbox)
+    write(customers.where("n_regionkey = 1 and c_acctbal > 0"))
+    second = taken.land(inbox)
+    return taken.rows("customers").select("geo", "age", "value", "landing", "dataset_code", F.lit(first.decoded).cast("long").alias("files_first"), F.lit(second.decoded).cast("long").alias("files_second"))

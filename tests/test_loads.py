@@ -1,10 +1,14 @@
 """Guarded loads, ranks and keys without one task, landings and integrity."""
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from gridstone.operators import quality, ranks, views
-from gridstone.sources import promotion
+from gridstone.sources import landing, promotion
+from gridstone.sources.datasets import Dataset, Registry
 
 
 def keyed(spark, rows):
@@ -132,3 +136,47 @@ def test_keys_stay_when_codes_are_added(spark):
     assert keys(second) == {"b": 1, "d": 2, "a": 3, "c": 4}
     assert keys(ranks.stable_keys(codes(), "code", "key", second)) == keys(second)
     assert keys(ranks.stable_keys(codes("z"), "code", "key", codes().selectExpr("code", "1L as key"), start=100)) == {"z": 100}
+
+
+# --- landings -----------------------------------------------------------------------------------------------------
+
+
+def cube(geo, *values):
+    codes = [f"a{i}" for i in range(len(values))]
+    index = lambda c: {"category": {"index": {x: i for i, x in enumerate(c)}}}
+    return json.dumps({"id": ["geo", "age"], "size": [1, len(codes)], "dimension": {"geo": index([geo]), "age": index(codes)}, "value": {str(i): v for i, v in enumerate(values)}})
+
+
+def test_landings_decode_only_what_changed(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    put = lambda name, text: ((inbox / name).parent.mkdir(parents=True, exist_ok=True), (inbox / name).write_text(text))
+    registry = Registry().add("one", Dataset("one", "One", ("geo", "age"))).add("two", Dataset("two", "Two", ("geo", "age"))).add("none", Dataset("none", "None", ("geo",)))
+    taken = landing.Landing(spark, f"{tmp_path}/landed", registry)
+    for name, text in {"one/DE.json": cube("DE", 1, 2), "one/FR.json": cube("FR", 3, ":"), "one/IT.json": cube("IT", ":"), "one/bad.json": "{no", "two/DE.json": cube("DE", 9), "odd/x.json": cube("X", 1)}.items():
+        put(name, text)
+    state = lambda: {r.file.split("/inbox/")[1]: (r.status, r.rows, r.landing) for r in taken.manifest().collect()}
+    rows = lambda name: {(r.geo, r.age, r.value, r.landing) for r in taken.rows(name).collect()}
+    assert taken.rows("one").collect() == []
+    assert taken.land(f"file:{inbox}", ["one/DE.json", "one/ES.json"]) == landing.Report(6, 6, 4, 0)
+    first = {"one/DE.json": ("OK", 2, 1), "one/FR.json": ("OK", 1, 1), "one/IT.json": ("EMPTY", 0, 1), "one/bad.json": ("BADJSON", 0, 1), "two/DE.json": ("OK", 1, 1), "odd/x.json": ("FAIL", 0, 1), "one/ES.json": ("FAIL", 0, 1)}
+    assert state() == first
+    put("one/FR.json", cube("FR", 7, 8))
+    put("one/ES.json", cube("ES", 5))
+    os.utime(inbox / "two/DE.json", (1, 1))  # another time, the same bytes
+    os.remove(inbox / "one/DE.json")
+    # a file of an unknown dataset is looked at again each time, as its dataset may be known by then
+    assert taken.land(f"file:{inbox}") == landing.Report(6, 4, 2, 1)
+    changed = {"one/FR.json": ("OK", 2, 2), "one/ES.json": ("OK", 1, 2), "odd/x.json": ("FAIL", 0, 2)}
+    assert state() == {k: v for k, v in (first | changed).items() if k != "one/DE.json"}
+    assert rows("one") == {("FR", "a0", 7.0, 2), ("FR", "a1", 8.0, 2), ("ES", "a0", 5.0, 2)} and rows("two") == {("DE", "a0", 9.0, 1)}
+    assert taken.land(f"file:{inbox}").decoded == 0 and rows("one") == {("FR", "a0", 7.0, 2), ("FR", "a1", 8.0, 2), ("ES", "a0", 5.0, 2)}
+    assert {(r.dataset_code, r.files, r.rows, r.status) for r in taken.report().collect()} == {("one", 4, 3, "OK"), ("two", 1, 1, "OK"), ("odd", 1, 0, "FAIL"), ("none", 0, 0, "EMPTY")}
+    assert [(r.geo, r.dataset_label) for r in taken.rows("one", ["ES"]).collect()] == [("ES", "One")]
+
+
+def test_published_datasets():
+    known = landing.published().known
+    assert len(known) == 23 and all(d.dims[0] == "freq" and d.dims[-2:] == ("geo", "time") for d in known.values())
+    assert known["hospital_days"].since == "2015" and known["projections"].since is None
+    with pytest.raises(ValueError, match="not a published"):
+        landing.published().add("x", Dataset("hlth_care", "x", ("geo",)))
