@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, ranks
+from ..operators import facts, quality, ranks
+from ..operators.relations import Grain, Relation, integrity
 from ..sources import landing, promotion
 from ..sources.datasets import Dataset, Registry
-from ..sources.storage import shared_folder
+from ..sources.storage import checkpointed, shared_folder
 from . import adapter as A
-from .catalog import customer_cubes, customers_of_nations, query
+from .catalog import C, ORACLES, P, R, S, W, customer_cubes, customers_of_nations, indicators, population_regions, query, regional
+from .kpis import FC, HC, kept_star
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -110,3 +112,65 @@ def incremental_landing(spark: SparkSession, d: str) -> DataFrame:
     write(customers.where("n_regionkey = 1 and c_acctbal > 0"))
     second = taken.land(inbox)
     return taken.rows("customers").select("geo", "age", "value", "landing", "dataset_code", F.lit(first.decoded).cast("long").alias("files_first"), F.lit(second.decoded).cast("long").alias("files_second"))
+
+
+# --- integrity ----------------------------------------------------------------------------------------------------
+
+LINKS = {
+    "country_code": ("country", "code"),
+    "profession_code": ("profession", "code"),
+    "age_group_code": ("age_group", "code"),
+    "sex_code": ("sex", "code"),
+    "year": ("period", "year"),
+    "region_code": ("region", "code"),
+}
+#: Facts of the star with their grain; every column of it that LINKS knows is a relation.
+GRAINS = {
+    "workers": ("profession_code", "age_group_code", "sex_code", "country_code", "year", "measure"),
+    "retirement": ("profession_code", "age_group_code", "country_code", "year"),
+    "population": ("country_code", "sex_code", "year"),
+    "population_regions": ("region_code", "country_code", "age_group_code", "sex_code", "year"),
+    "indicators": ("country_code", "indicator_code", "sex_code", "year"),
+    "capacity": ("country_code", "year", "bed_category"),
+    "shortage": ("profession_code", "country_code", "year"),
+    "regional": ("region_code", "profession_code", "year"),
+    "forecast": ("country_code", "profession_code", "year"),
+}
+LINE_LINKS = [("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey")]
+CHECKS = [Relation(f, k, *LINKS[k]) for f, keys in GRAINS.items() for k in keys if k in LINKS] + [Relation("lineitem", *link) for link in LINE_LINKS]
+CHECKS += [Grain(f, keys) for f, keys in GRAINS.items()] + [Grain("lineitem", ("l_orderkey", "l_linenumber"))]
+
+
+def integrity_sql() -> str:
+    """One row for each check: rows of the fact, and orphans or repeated keys."""
+    tables = {"population": "people", "forecast": "fc", "retirement": f"({ORACLES['f2_retirement']})", "indicators": f"({ORACLES['f3_indicators']})", "population_regions": f"({ORACLES['f4_population_regions']})"}
+    dims = {
+        "country": "SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal > 0", "profession": "SELECT profession_code FROM per", "age_group": "VALUES ('B1'), ('B2'), ('B3'), ('B4'), ('B5')",
+        "sex": "SELECT l_linestatus FROM lineitem UNION SELECT 'T'", "period": "SELECT year(o_orderdate) FROM orders", "region": "SELECT n_name || '-R' FROM nation UNION SELECT n_name FROM nation",
+        "orders": "SELECT o_orderkey FROM orders", "part": "SELECT p_partkey FROM part", "supplier": "SELECT s_suppkey FROM supplier",
+    }
+    out = []
+    for c in CHECKS:
+        fact = tables.get(c.fact, c.fact)
+        if isinstance(c, Grain):
+            out.append(f"SELECT '{c.name}' AS \"check\", 'grain' AS kind, coalesce(sum(c), 0)::BIGINT AS rows, count(*) FILTER (WHERE c > 1) AS bad FROM (SELECT count(*) AS c FROM {fact} GROUP BY {', '.join(c.keys)})")
+        else:
+            out.append(f"SELECT '{c.name}', 'relation', count(*), count(*) FILTER (WHERE {c.key} IS NOT NULL AND {c.key} NOT IN ({dims[c.dimension]})) FROM {fact}")
+    out.sort(key=lambda q: "AS kind" not in q)  # the first one names the columns
+    return f"SELECT \"check\", kind, CASE WHEN bad > 0 THEN 'FAIL' ELSE 'OK' END AS status, rows, bad FROM ({' UNION ALL '.join(out)})"
+
+
+@query("f10_all_relations", integrity_sql(), W, P, C, S, R, HC, FC)
+def all_relations(spark: SparkSession, d: str) -> DataFrame:
+    """All relations and grains of the star and of the lines. Some are broken by intent: benchmarks for three professions, countries with a solvent supplier, periods of orders."""
+    star, t = kept_star(spark, d), lambda n: A.read(spark, d, n)
+    codes = lambda *c: spark.createDataFrame([(x,) for x in c], "code string")
+    nations = t("nation").select("n_nationkey", F.col("n_name").alias("code"))
+    tables = {
+        "workers": star.workers, "retirement": facts.retirement(star.workers, A.OLDEST), "population": star.population, "population_regions": population_regions(spark, d), "indicators": indicators(spark, d), "capacity": star.capacity,
+        "shortage": star.shortage, "regional": checkpointed(regional(spark, d)), "forecast": star.forecast, "lineitem": t("lineitem"), "orders": t("orders"), "part": t("part"), "supplier": t("supplier"),
+        "country": t("supplier").where("s_acctbal > 0").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("code").distinct(),
+        "profession": codes(*A.PER_1000), "age_group": codes("B1", "B2", "B3", "B4", "B5"), "sex": t("lineitem").select(F.col("l_linestatus").alias("code")).union(codes("T")),
+        "period": t("orders").select(F.year("o_orderdate").alias("year")).distinct(), "region": nations.select("code").union(nations.select(F.concat("code", F.lit("-R")))),
+    }
+    return integrity(tables, CHECKS).drop("detail")

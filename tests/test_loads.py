@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridstone.operators import quality, ranks, views
+from gridstone.operators.relations import Grain, Relation, integrity
 from gridstone.sources import landing, promotion
 from gridstone.sources.datasets import Dataset, Registry
 
@@ -180,3 +181,33 @@ def test_published_datasets():
     assert known["hospital_days"].since == "2015" and known["projections"].since is None
     with pytest.raises(ValueError, match="not a published"):
         landing.published().add("x", Dataset("hlth_care", "x", ("geo",)))
+
+
+# --- integrity ----------------------------------------------------------------------------------------------------
+
+
+def test_integrity_from_declarations(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(1, "a", 2020), (1, "a", 2020), (2, None, 2020), (9, "z", None), (9, "z", None), (3, "null", 2021)]
+    fact = spark.createDataFrame(rows, "id long, code string, year int").mapInArrow(counted, "id long, code string, year int")
+    tables = {"fact": fact, "ids": spark.createDataFrame([("1",), ("2",), ("3",), ("3",)], "id string"), "codes": spark.createDataFrame([("a",), ("z",)], "code string"), "empty": spark.createDataFrame([], "id long")}
+    checks = [Relation("fact", "id", "ids", "id"), Relation("fact", "code", "codes", "code"), Relation("fact", "year", "empty", "id", active=False), Grain("fact", ("id", "code", "year")), Grain("fact", ("id", "nothing")), Relation("fact", "gone", "codes", "code"), Relation("fact", "id", "absent", "id"), Relation("empty", "id", "ids", "id"), Grain("empty", ("id",))]
+    got = {r["check"]: (r["kind"], r["status"], r["rows"], r["bad"], r["detail"]) for r in integrity(tables, checks).collect()}
+    assert got == {
+        "fact.id -> ids.id": ("relation", "FAIL", 6, 2, "9"),
+        "fact.code -> codes.code": ("relation", "FAIL", 6, 1, "null"),
+        "fact.year -> empty.id": ("relation", "FAIL", 6, 4, "2020"),
+        "fact by id, code, year": ("grain", "FAIL", 6, 2, '{"id":1,"code":"a","year":2020}'),
+        "fact by id, nothing": ("grain", "UNBOUND", None, None, "no fact.nothing"),
+        "fact.gone -> codes.code": ("relation", "UNBOUND", None, None, "no fact.gone"),
+        "fact.id -> absent.id": ("relation", "UNBOUND", None, None, "no absent"),
+        "empty.id -> ids.id": ("relation", "OK", 0, 0, None),
+        "empty by id": ("grain", "OK", 0, 0, None),
+    }
+    assert seen.value == len(rows)  # four checks, one pass
