@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import BASE_A, BASE_B, U64, Scratch, Texts, group_starts, mix, prefix_sums, range_hashes, slices, table
 
 LONGEST, LEAST_COUNT, TOP = 5, 100, 2000
+SLICE = 2 << 20
 SPACES, MARKS = b" \t", b".,;:!?\n\v\f\r"
 COUNTS = "lang string, size int, phrase string, n bigint"
 
@@ -55,7 +56,7 @@ class Pieces:
         words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[kinds == 0].tobytes())).dictionary_encode()
         self.word, self.words = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
         text = np.searchsorted(texts.bounds, starts, side="right")
-        self.piece = np.cumsum(kinds == 2)[starts] + text if len(starts) else starts
+        self.piece = np.searchsorted(np.flatnonzero(kinds == 2), starts) + text
         langs = pa.compute.fill_null(batch.column("lang").cast(pa.string()), "und").dictionary_encode()
         self.lang, self.langs = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text - 1], langs.dictionary.cast(pa.large_string())
 
@@ -92,14 +93,14 @@ def hashes(strings: pa.Array) -> np.ndarray:
     return range_hashes(prefix_sums(texts.raw + U64(1), BASE_A), texts.bounds[:-1], texts.bounds[1:], BASE_A)
 
 
-def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
     """Counts of a task's slices, added up while they have no more than so many rows."""
     held, n = [], 0
     for batch in counts:
         held.append(batch)
         n += batch.num_rows
         if n > most:
-            held = pa.Table.from_batches(held).group_by(batch.schema.names[:-1]).aggregate([("n", "sum")]).rename_columns(batch.schema.names).to_batches()
+            held = pa.Table.from_batches(held).group_by(batch.schema.names[:-1], use_threads=False).aggregate([("n", "sum")]).rename_columns(batch.schema.names).to_batches()
             n = sum(b.num_rows for b in held)
             if 2 * n > most:
                 yield from held
@@ -108,14 +109,14 @@ def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=SLICE):
         p = Pieces(batch)
         yield p.counted(np.arange(len(p.word)), p.lang * len(p.words) + p.word, 1)
 
 
 def pair_counts(words: dict[str, pa.Array] | None):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             pair, n = np.unique(Pieces(batch).pairs(words)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
 
@@ -126,7 +127,7 @@ def edge_counts(words: dict[str, pa.Array] | None, pairs: np.ndarray | None):
     """The graph's edges, and for each piece its tail: the last words of it, one less than an edge has or all there are. pairs: hashes of those to keep, sorted."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             p = Pieces(batch)
             at, key = p.pairs(words)
             if pairs is not None:
