@@ -93,7 +93,7 @@ def hashes(strings: pa.Array) -> np.ndarray:
     return range_hashes(prefix_sums(texts.raw + U64(1), BASE_A), texts.bounds[:-1], texts.bounds[1:], BASE_A)
 
 
-def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+def merged(counts: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Counts of a task's slices, added up while they have no more than so many rows."""
     held, n = [], 0
     for batch in counts:
