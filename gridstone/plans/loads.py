@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import facts, quality, ranks
 from ..operators.relations import Grain, Relation, integrity
 from ..sources import landing, promotion
-from ..sources.datasets import Dataset, Registry
+from ..sources.datasets import Dataset, Registry, build_views
 from ..sources.storage import checkpointed, shared_folder
 from . import adapter as A
 from .catalog import C, ORACLES, P, R, S, W, customer_cubes, customers_of_nations, indicators, population_regions, query, regional
@@ -174,3 +174,23 @@ def all_relations(spark: SparkSession, d: str) -> DataFrame:
         "period": t("orders").select(F.year("o_orderdate").alias("year")).distinct(), "region": nations.select("code").union(nations.select(F.concat("code", F.lit("-R")))),
     }
     return integrity(tables, CHECKS).drop("detail")
+
+
+# --- views --------------------------------------------------------------------------------------------------------
+
+#: Views in an order in which none could be built: each reads those after it.
+LAYERS = {
+    "layer_busy": "SELECT nation, year, orders, share FROM layer_shares WHERE share > (SELECT avg(share) FROM layer_shares)",
+    "layer_shares": "WITH all_years AS (SELECT year, sum(orders) AS total FROM layer_years GROUP BY year) SELECT nation, y.year, orders, orders / CAST(total AS DOUBLE) AS share FROM layer_years y JOIN all_years a ON y.year = a.year",
+    "layer_years": "SELECT nation, year(o_orderdate) AS year, count(*) AS orders FROM layer_orders GROUP BY nation, year(o_orderdate)",
+}
+
+
+@query(
+    "s25_view_order",
+    "WITH y AS (SELECT n_name AS nation, year(o_orderdate)::INT AS year, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL), s AS (SELECT *, orders / (sum(orders) OVER (PARTITION BY year))::DOUBLE AS share FROM y) SELECT * FROM s WHERE share > (SELECT avg(share) FROM s)",
+)
+def view_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Views over views over orders, built from declarations in the wrong order."""
+    build_views(spark, {**LAYERS, "layer_orders": lambda s: A.placed_orders(s, d).select(F.col("n_name").alias("nation"), "o_orderdate")})
+    return spark.table("layer_busy")

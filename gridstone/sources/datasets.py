@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -106,12 +107,38 @@ def export_tables(tables: dict[str, DataFrame], folder: str) -> DataFrame:
     return spark.createDataFrame(manifest, "table string, rows long, error string")
 
 
-def build_views(spark: SparkSession, views: dict[str, Callable[[SparkSession], DataFrame]]) -> list[str]:
-    """Registers views in order, each of which may read those before it; every one is analysed, and all that fail are named at the end."""
+def relations_of(spark: SparkSession, sql: str) -> set[str]:
+    """The names a query reads, subqueries and common table expressions included, from its parsed plan before any of them is looked up."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    return {name.replace(", ", ".") for name in re.findall(r"'UnresolvedRelation \[([^\]]+)\]", plan)}
+
+
+def view_order(spark: SparkSession, views: dict[str, str | Callable[[SparkSession], DataFrame]]) -> list[str]:
+    """Names of views, each after those its SQL reads. A function says nothing of what it reads and has to stand after that itself."""
+    needs = {name: sorted(relations_of(spark, v) & (views.keys() - {name})) if isinstance(v, str) else [] for name, v in views.items()}
+    needs |= {name: [name] for name, v in views.items() if isinstance(v, str) and name in relations_of(spark, v)}
+    order: list[str] = []
+
+    def visit(name: str, path: tuple[str, ...]) -> None:
+        if name in path:
+            raise ValueError("views that need each other: " + " -> ".join([*path[path.index(name) :], name]))
+        if name not in order:
+            for other in needs[name]:
+                visit(other, (*path, name))
+            order.append(name)
+
+    for name in views:
+        visit(name, ())
+    return order
+
+
+def build_views(spark: SparkSession, views: dict[str, str | Callable[[SparkSession], DataFrame]]) -> list[str]:
+    """Registers views, given as SQL or functions in any order, each after those its SQL reads; every one is analysed, and all that fail are named at the end."""
     done, failed = [], []
-    for name, build in views.items():
+    for name in view_order(spark, views):
         try:
-            build(spark).createOrReplaceTempView(name)
+            build = views[name]
+            (spark.sql(build) if isinstance(build, str) else build(spark)).createOrReplaceTempView(name)
             done.append(name)
         except Exception as e:  # all failures are raised together below
             failed.append(f"{name}: {type(e).__name__}: {str(e)[:200]}")

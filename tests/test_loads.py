@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridstone.operators import quality, ranks, views
 from gridstone.operators.relations import Grain, Relation, integrity
 from gridstone.sources import landing, promotion
-from gridstone.sources.datasets import Dataset, Registry
+from gridstone.sources.datasets import Dataset, Registry, build_views, relations_of, view_order
 
 
 def keyed(spark, rows):
@@ -211,3 +211,26 @@ def test_integrity_from_declarations(spark):
         "empty by id": ("grain", "OK", 0, 0, None),
     }
     assert seen.value == len(rows)  # four checks, one pass
+
+
+# --- views --------------------------------------------------------------------------------------------------------
+
+
+def test_views_in_any_order(spark):
+    views = {
+        "w_c": "select x + 1 as x from w_b where x in (select x from w_a) and exists (select 1 from w_d)",
+        "w_b": "with t as (select * from w_a) select * from t",
+        "w_d": "select 1 as y union all select x from w_a",
+        "w_a": lambda s: s.range(3).selectExpr("id as x"),
+    }
+    assert relations_of(spark, views["w_c"]) == {"w_a", "w_b", "w_d"} and relations_of(spark, "select * from db.t join u") == {"db.t", "u"}
+    for order in (list(views), list(views)[::-1]):
+        built = build_views(spark, {n: views[n] for n in order})
+        assert built.index("w_a") < built.index("w_b") < built.index("w_c") and built.index("w_d") < built.index("w_c")
+        assert sorted(r.x for r in spark.table("w_c").collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="w_x -> w_y -> w_z -> w_x"):
+        view_order(spark, {"w_x": "select * from w_y", "w_y": "select * from w_z, w_a", "w_z": "select * from w_x", "w_a": "select 1"})
+    with pytest.raises(ValueError, match="w_s -> w_s"):
+        view_order(spark, {"w_s": "select * from w_s"})
+    with pytest.raises(ValueError, match="w_bad.*nothing_here"):
+        build_views(spark, {"w_bad": "select * from nothing_here", "w_good": "select 1 as a"})
