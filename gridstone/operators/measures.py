@@ -21,7 +21,7 @@ from ..functions.columns import ratio, sum_if, tier
 
 
 #: References and thresholds of the published formulas (fixed values).
-CONSTANTS = {"beds_per_nurse": 0.8, "icu_share": 0.04, "retirement": 0.6, "coverage": 12.0, "population": 50_000.0, "direction": 0.01, "change_years": 5}
+CONSTANTS = {"beds_per_nurse": 0.8, "icu_share": 0.04, "retirement": 0.6, "coverage": 12.0, "population": 50_000.0, "direction": 0.01, "change_years": 4}
 
 
 @dataclass(frozen=True)
@@ -333,3 +333,10 @@ MEASURES = {
 def measure(star: Star, name: str, *groups: str) -> DataFrame:
     """groups and value of a measure by name."""
     return MEASURES[name](star, list(groups))
+
+
+def card(star: Star, year: int, names: list[str]) -> DataFrame:
+    """measure and value, one row for each of names, in the context of one year, each measure by itself; ``measure_plan.card`` gives the same rows with each fact read once."""
+    only = lambda df: None if df is None else df.where(F.col("year") == year)
+    context = Star(only(star.workers), only(star.shortage), only(star.capacity), only(star.population), only(star.regional), only(star.population_regions), star.forecast, star.first, star.second, star.oldest, star.constants)
+    return reduce(DataFrame.unionByName, [measure(context, n).select(F.lit(n).alias("measure"), F.round(F.col("value").cast("double"), 6).alias("value")) for n in names])
