@@ -24,7 +24,8 @@ LEAST = 8
 
 def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | None:
     """Forecasts of an ARIMA (p, 1, q), p and q up to ``most`` and not both 0, fitted by regression on lags and on residuals of a long
-    autoregression; the order with the least AIC. None where nothing can be fitted."""
+    autoregression; the order with the least AIC. All orders are compared on the same observations, and the chosen one is fitted to all that it can use; a short
+    series allows lower orders only. None where nothing can be fitted."""
     d = np.diff(y)
     long = min(most + 1, len(d) // 3)
     if long < 1:
@@ -34,21 +35,18 @@ def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | Non
     e = np.zeros(len(d))
     x = np.column_stack([np.ones(len(at)), lagged(d, long, at)])
     e[at] = d[at] - x @ np.linalg.lstsq(x, d[at], rcond=None)[0]
-    best = None
-    for p in range(most + 1):
-        for q in range(most + 1):
-            rows = np.arange(max(p, long + q), len(d))
-            if p + q == 0 or len(rows) < p + q + 3:
-                continue
-            x = np.column_stack([np.ones(len(rows)), lagged(d, p, rows), lagged(e, q, rows)])
-            beta = np.linalg.lstsq(x, d[rows], rcond=None)[0]
-            noise = d[rows] - x @ beta
-            aic = len(rows) * np.log(max(noise @ noise / len(rows), 1e-12)) + 2 * (p + q + 1)
-            if best is None or aic < best[0]:
-                best = (aic, p, q, beta, rows, noise)
-    if best is None:
+
+    def fitted(p: int, q: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = np.column_stack([np.ones(len(rows)), lagged(d, p, rows), lagged(e, q, rows)])
+        beta = np.linalg.lstsq(x, d[rows], rcond=None)[0]
+        return beta, d[rows] - x @ beta
+
+    order = chosen_order(len(d), long, most, fitted)
+    if order is None:
         return None
-    _, p, q, beta, rows, noise = best
+    p, q = order
+    rows = np.arange(max(p, long + q), len(d))
+    beta, noise = fitted(p, q, rows)
     d, e = list(d), list(e)
     for r, n in zip(rows, noise, strict=True):
         e[r] = n
@@ -61,6 +59,17 @@ def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | Non
     return np.array(out) if np.all(np.isfinite(out)) else None
 
 
+def chosen_order(n: int, long: int, most: int, fitted: Callable) -> tuple[int, int] | None:
+    """(p, q) of the least AIC over n differences. The highest order is lowered until the observations that all orders share are enough for one of them."""
+    for bound in range(most, 0, -1):
+        rows = np.arange(long + bound, n)
+        orders = [(p, q) for p in range(bound + 1) for q in range(bound + 1) if 0 < p + q <= len(rows) - 3]
+        if len(rows) >= bound + 3 and orders:
+            noises = {o: fitted(*o, rows)[1] for o in orders}
+            return min(orders, key=lambda o: (len(rows) * np.log(max(noises[o] @ noises[o] / len(rows), 1e-12)) + 2 * (sum(o) + 1), o))
+    return None
+
+
 def piecewise_trend(y: np.ndarray, steps: int, knots: int = 5, penalty: float = 1.0) -> np.ndarray | None:
     """A line that may bend at evenly spaced places of the first four fifths, bends shrunk towards none."""
     n = len(y)
