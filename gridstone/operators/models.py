@@ -1,7 +1,7 @@
 """Forecast models over panels (series columns, period, value), their recursion over horizons, and the table of final forecasts.
 
 Grouped models fit one series in one task, so the number of series is what scales; a series is as long as its periods. The tree model is one for all series,
-on features of earlier periods only, the same in training and in scoring; it forecasts step by step and sees its own forecasts as lags. Every model returns the series
+on features of earlier periods only, the same in training and in scoring; it forecasts step by step and sees its own forecasts as lags, which are an array in one row for each series. Every model returns the series
 columns, period, forecast (never below 0) and method (what made it: the model, or naive where a series is too short or a fit fails).
 """
 
@@ -12,20 +12,22 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import checkpointed
-from .forecast import features, fitted
+from .forecast import champion, features, fitted
 
 FEATURES = ["lag_1", "lag_2", "lag_3", "rolling_mean_3", "growth", "trend", "index"]
 LEAST = 8
+#: How many periods back the features look, and after how many steps a recursion's plan is cut.
+LAGS, CUT = 5, 24
 
 
 def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | None:
     """Forecasts of an ARIMA (p, 1, q), p and q up to ``most`` and not both 0, fitted by regression on lags and on residuals of a long
     autoregression; the order with the least AIC. All orders are compared on the same observations, and the chosen one is fitted to all that it can use; a short
-    series allows lower orders only. None where nothing can be fitted."""
+    series allows lower orders only. Coefficients whose recursion would explode are drawn in. None where nothing can be fitted."""
     d = np.diff(y)
     long = min(most + 1, len(d) // 3)
     if long < 1:
@@ -47,6 +49,7 @@ def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | Non
     p, q = order
     rows = np.arange(max(p, long + q), len(d))
     beta, noise = fitted(p, q, rows)
+    beta = np.concatenate([beta[:1], bounded(beta[1 : p + 1], 1), bounded(beta[p + 1 :], -1)])
     d, e = list(d), list(e)
     for r, n in zip(rows, noise, strict=True):
         e[r] = n
@@ -59,6 +62,13 @@ def autoregression(y: np.ndarray, steps: int, most: int = 3) -> np.ndarray | Non
     return np.array(out) if np.all(np.isfinite(out)) else None
 
 
+def bounded(beta: np.ndarray, sign: int, to: float = 0.98) -> np.ndarray:
+    """Coefficients of x(t) = sign * (beta[0] x(t-1) + ...), with all roots drawn in alike where the largest one lies beyond 1: forecasts over many steps stay bounded (on lags),
+    and residuals can be told from the values (on residuals)."""
+    largest = np.abs(np.roots([1.0, *(-sign * beta)])).max(initial=0.0)
+    return beta if largest <= 1 + 1e-9 else beta * (to / largest) ** np.arange(1, len(beta) + 1)
+
+
 def chosen_order(n: int, long: int, most: int, fitted: Callable) -> tuple[int, int] | None:
     """(p, q) of the least AIC over n differences. The highest order is lowered until the observations that all orders share are enough for one of them."""
     for bound in range(most, 0, -1):
@@ -81,6 +91,18 @@ def piecewise_trend(y: np.ndarray, steps: int, knots: int = 5, penalty: float =
     return out if np.all(np.isfinite(out)) else None
 
 
+def continued(t: np.ndarray, v: np.ndarray, ahead: list[int], name: str, fit: Callable[[np.ndarray, int], np.ndarray | None]) -> tuple[np.ndarray, str]:
+    """Forecasts of one series at the periods ``ahead``, never below 0, and what made them. Gaps are interpolated first; a short series, or one that can't be fitted, keeps its last value."""
+    steps, said = ahead[-1] - int(t[-1]), None
+    if len(v) >= LEAST and steps > 0:
+        try:
+            said = fit(np.interp(np.arange(t[0], t[-1] + 1), t, v), steps)
+        except np.linalg.LinAlgError:
+            said = None
+    values = [float(v[-1]) if said is None or p <= t[-1] else float(said[p - int(t[-1]) - 1]) for p in ahead]
+    return np.maximum(0.0, values), "naive" if said is None else name
+
+
 def by_series(name: str, fit: Callable[[np.ndarray, int], np.ndarray | None]):
     """A grouped model from a function of a gapless series and a number of steps."""
 
@@ -89,19 +111,10 @@ def by_series(name: str, fit: Callable[[np.ndarray, int], np.ndarray | None]):
 
         def one(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.dropna(subset=["value"]).sort_values("period")
-            keys = {c: rows[c].iloc[0] for c in series} if len(rows) else {}
             if not len(rows):
-                return pd.DataFrame({c: [] for c in [*series, "period", "forecast", "method"]})
-            t, v = rows["period"].to_numpy(), rows["value"].to_numpy(float)
-            every = np.arange(t[0], t[-1] + 1)
-            steps, said = ahead[-1] - int(t[-1]), None
-            if len(v) >= LEAST and steps > 0:
-                try:
-                    said = fit(np.interp(every, t, v), steps)
-                except np.linalg.LinAlgError:
-                    said = None
-            values = [float(v[-1]) if said is None or p <= t[-1] else float(said[p - int(t[-1]) - 1]) for p in ahead]
-            return pd.DataFrame({**keys, "period": np.array(ahead, np.int32), "forecast": np.maximum(0.0, values), "method": "naive" if said is None else name})
+                return pd.DataFrame({c: [] for c in [*series, "period", "forecast", "method"]}, dtype=object)  # an empty column of numbers is no array of strings
+            values, method = continued(rows["period"].to_numpy(), rows["value"].to_numpy(float), ahead, name, fit)
+            return pd.DataFrame({**{c: rows[c].iloc[0] for c in series}, "period": np.array(ahead, np.int32), "forecast": values, "method": method})
 
         kinds = dict(train.dtypes)
         schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in series), "period int", "forecast double", "method string"])
@@ -130,6 +143,23 @@ def with_index(panel: DataFrame, series: list[str]) -> DataFrame:
     return features(panel, series).withColumn("index", F.col("period").cast("double")).withColumn("series_", F.concat_ws("_", *series))
 
 
+def lag_state(panel: DataFrame, series: list[str], end: int) -> DataFrame:
+    """A row for each series with its values at ``end`` and the periods before, the newest first, NULL where there is none."""
+    at = lambda period: F.max(F.when(F.col("period") == period, F.col("value").cast("double")))
+    return panel.groupBy(*series).agg(F.array(*[at(end - i) for i in range(LAGS)]).alias("lags_"))
+
+
+def state_features(period: int) -> dict[str, Column]:
+    """The features of ``forecast.features`` at a period, from the values before it."""
+    one, two, three, five = (F.col("lags_")[i] for i in (0, 1, 2, 4))
+    count = sum((F.when(x.isNull(), 0).otherwise(1) for x in (three, two, one)), F.lit(0))
+    total = sum((F.coalesce(x, F.lit(0.0)) for x in (three, two, one)), F.lit(0.0))
+    return {
+        "lag_1": one, "lag_2": two, "lag_3": three, "rolling_mean_3": F.round(F.try_divide(total, count), 6),
+        "growth": F.try_divide(one - two, two), "trend": (one - five) / 4, "index": F.lit(float(period)),
+    }
+
+
 class Trees:
     """One tree model for all series (Spark ML): random forest or gradient-boosted trees."""
 
@@ -138,11 +168,15 @@ class Trees:
         self.model = None
 
     def fit(self, panel: DataFrame, series: list[str]) -> Trees:
+        return self.fit_features(checkpointed(with_index(panel, series)))
+
+    def fit_features(self, known: DataFrame) -> Trees:
+        """As fit, from a written table of ``with_index``, so that several fits can share it; a fit reads it once for each level of a tree."""
         from pyspark.ml import Pipeline
         from pyspark.ml.feature import VectorAssembler
         from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-        rows = with_index(panel, series).where("value is not null").dropna(subset=FEATURES)
+        rows = known.where("value is not null").dropna(subset=FEATURES)
         if rows.limit(20).count() < 20:  # too few to learn from: forecasts are naive
             return self
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="x", handleInvalid="skip")
@@ -157,21 +191,25 @@ class Trees:
         total = sum(x for _, x in found) or 1.0
         return spark.createDataFrame([(f, x / total) for f, x in found], "feature string, importance double")
 
-    def predict(self, panel: DataFrame, series: list[str], periods: list[int]) -> DataFrame:
-        """Step by step to the last period: each step's forecasts are the next one's lags; a feature that isn't known is 0."""
+    def predict(self, panel: DataFrame, series: list[str], periods: list[int], end: int | None = None) -> DataFrame:
+        """Step by step from ``end`` (the panel's last period) to the last of ``periods``: each step is a projection of the row of a series, whose forecasts are the
+        next step's lags. A feature that isn't known is 0. The only shuffle brings each series' last values together; the plan is cut every ``CUT`` steps."""
+        from pyspark.ml.feature import VectorAssembler
+
         if self.model is None:
             return naive(panel, series, periods)
-        end = panel.agg(F.max("period")).first()[0]
-        known = checkpointed(panel.select(*series, "period", F.col("value").cast("double").alias("value")).where(F.col("period") > end - 6))
-        members, out = checkpointed(panel.select(*series).distinct()), None
+        end = panel.agg(F.max("period")).first()[0] if end is None else end
+        # no rows are skipped here: a filter would be pushed through all steps before it, and their trees with it
+        assembler, model = VectorAssembler(inputCols=FEATURES, outputCol="x", handleInvalid="keep"), self.model.stages[-1]
+        state = lag_state(panel, series, end).withColumn("said_", F.array().cast("array<double>"))
         for period in range(end + 1, max(periods) + 1):
-            rows = known.unionByName(members.withColumns({"period": F.lit(period), "value": F.lit(None).cast("double")}))
-            now = with_index(rows, series).where(F.col("period") == period).fillna(0.0, subset=FEATURES)
-            step = self.model.transform(now).select(*series, "period", F.greatest(F.lit(0.0), F.col("forecast")).alias("forecast"))
-            step = checkpointed(step)  # a row for each series; else every step's plan would hold all plans before it
-            out = step if out is None else out.unionByName(step)
-            known = known.where(F.col("period") > period - 5).unionByName(step.withColumnRenamed("forecast", "value"))
-        return out.where(F.col("period").isin(*periods)).withColumn("method", F.lit(self.kind))
+            now = state.withColumns(state_features(period)).fillna(0.0, subset=FEATURES)
+            new = F.array(F.greatest(F.lit(0.0), F.col("forecast")))
+            state = model.transform(assembler.transform(now)).select(*series, F.slice(F.concat(new, "lags_"), 1, LAGS).alias("lags_"), F.concat("said_", new).alias("said_"))
+            if (period - end) % CUT == 0:
+                state = checkpointed(state)
+        out = state.select(*series, F.posexplode("said_").alias("step_", "forecast")).withColumn("period", F.col("step_") + F.lit(end + 1))
+        return out.where(F.col("period").isin(*periods)).select(*series, "period", "forecast", F.lit(self.kind).alias("method"))
 
 
 def trees(kind: str, **parameters):
@@ -218,3 +256,9 @@ def final_forecasts(panel: DataFrame, series: list[str], champion: DataFrame, ba
 def against_baseline(finals: DataFrame) -> DataFrame:
     """The forecasts with what the model adds to the baseline."""
     return finals.withColumn("model_uplift", F.col("forecast") - F.col("baseline_forecast"))
+
+
+def champion_forecasts(panel: DataFrame, series: list[str], periods: list[int], compared: DataFrame, models: dict[str, Callable] | None = None) -> DataFrame:
+    """Forecasts of the model that won a comparison, with its name: one row of the comparison decides which one is fitted to the whole panel."""
+    name = champion(compared).first()["model"]
+    return (models or MODELS)[name](panel, series, periods).withColumn("model", F.lit(name))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio, sum_if
-from ..operators import dimensions, extracts, forecast, hierarchy, measures, models, quality, views
+from ..operators import backtest, dimensions, extracts, forecast, hierarchy, measures, models, quality, sketches, views
 from ..sources import datasets
 from ..sources.storage import checkpointed
 from . import adapter as A
@@ -110,15 +110,51 @@ def ahead(spark, d) -> list[int]:
 
 query("l4_arima_like")(lambda s, d: models.arima_like(A.panel(s, d), SERIES, ahead(s, d)))
 query("l5_piecewise_trend")(lambda s, d: models.piecewise(A.panel(s, d), SERIES, ahead(s, d)))
-query("l7_trees_and_recursion")(lambda s, d: models.Trees("forest", trees=20).fit(A.panel(s, d), SERIES).predict(A.panel(s, d), SERIES, ahead(s, d)[:2]))
+@query("l7_trees_and_recursion")
+def trees_and_recursion(spark, d):
+    panel = checkpointed(A.panel(spark, d))
+    end = panel.agg(F.max("period")).first()[0]
+    return models.Trees("forest", trees=20).fit(panel, SERIES).predict(panel, SERIES, [end + 1, end + 6], end=end)
+
+
 query("l9_feature_importance")(lambda s, d: models.Trees("boosted", trees=10).fit(A.panel(s, d), SERIES).importance(s))
 
 
 @query("l13_model_comparison")
 def model_comparison(spark, d):
-    panel = A.panel(spark, d)
-    cuts = [(r.train_end, list(range(r.train_end + 1, r.test_end + 1))) for r in forecast.folds(panel, 48, 12).collect()]  # a handful of folds
-    return models.comparison(models.evaluate(panel, SERIES, cuts, {k: models.MODELS[k] for k in ("naive", "drift", "arima_like", "piecewise_trend")})[0])
+    """All six models over all folds; the panel of months is small beside the orders, and is written once."""
+    panel = checkpointed(A.panel(spark, d))
+    return backtest.scores(backtest.walk_forward_all(panel, SERIES, forecast.folds(panel, 48, 12)))
+
+
+L15 = """chosen AS (SELECT region, segment, period, CASE WHEN model = 'trend' THEN trend ELSE naive END AS forecast, naive AS baseline_forecast, champion.model FROM base, champion),
+seen_ AS (SELECT region, segment, max(period) AS latest_period, arg_max(value, period)::DOUBLE AS latest_observed, max(value)::DOUBLE AS largest FROM panel GROUP BY ALL)"""
+
+
+@query("l15_champion_forecasts", "SELECT region, segment, c.period, round(forecast, 6) AS forecast, round(baseline_forecast, 6) AS baseline_forecast, latest_period, latest_observed, round((forecast - latest_observed) / nullif(latest_observed, 0) * 100, 6) AS change_vs_latest_pct, forecast > largest * 10 AS is_implausible, model, round(forecast - baseline_forecast, 6) AS model_uplift FROM chosen c JOIN seen_ USING (region, segment)", f"base AS ({ORACLES['l2_baseline_forecasts']})", N, L11, L14, L15)
+def champion_forecasts(spark, d):
+    """The champion of the walk-forward comparison makes the final table; naive is its baseline."""
+    panel = checkpointed(A.panel(spark, d))
+    won = forecast.champion(forecast.walk_forward(panel, SERIES, 36, 12)).select("model")
+    said = forecast.forecast(panel, SERIES, [1, 6, 12]).crossJoin(F.broadcast(won))
+    said = said.select(*SERIES, "period", F.when(F.col("model") == "trend", F.col("trend")).otherwise(F.col("naive")).alias("forecast"), F.col("naive").alias("baseline_forecast"), "model")
+    finals = models.against_baseline(models.final_forecasts(panel, SERIES, said, said.withColumn("forecast", F.col("baseline_forecast")))).join(said.select(*SERIES, "period", "model"), [*SERIES, "period"])
+    return extracts.rounded(finals, forecast=6, baseline_forecast=6, change_vs_latest_pct=6, model_uplift=6)
+
+
+# --- distinct counts ----------------------------------------------------------------------------------------------
+
+
+@query("a3_distinct_rollup", """SELECT country_code, year, people, true AS within_bound FROM (SELECT n_name AS country_code, year(o_orderdate)::INT AS year, count(DISTINCT o_custkey) AS people
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY GROUPING SETS ((n_name, year(o_orderdate)), (n_name), (year(o_orderdate)), ()))""")
+def distinct_rollup(spark, d):
+    """Customers by country and year, by each, and in all: rolled up from one table of sketches, and held against exact counts."""
+    placed = A.placed_orders(spark, d).select(F.col("n_name").alias("country_code"), F.year("o_orderdate").alias("year"), "o_custkey")
+    sets = [["country_code", "year"], ["country_code"], ["year"], []]
+    rolled = sketches.rolled_up(sketches.sketched(placed, ["country_code", "year"], "o_custkey"), ["country_code", "year"], sets)
+    exact = placed.groupingSets(sets, "country_code", "year").agg(F.countDistinct("o_custkey").alias("people"))
+    same = rolled["country_code"].eqNullSafe(exact["country_code"]) & rolled["year"].eqNullSafe(exact["year"])
+    return exact.join(rolled, same, "left").select(exact["country_code"], exact["year"], "people", sketches.within(F.col("estimate"), F.col("people")).alias("within_bound"))
 
 
 # --- hierarchy ----------------------------------------------------------------------------------------------------

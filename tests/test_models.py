@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from gridstone.operators.models import autoregression, chosen_order
+from gridstone.operators.models import autoregression, bounded, chosen_order
 
 
 def plain_order(d, e, long, most):
@@ -44,3 +44,16 @@ def test_short_and_steady_series():
     for n in (8, 9, 12, 40):
         out = autoregression(10.0 + 2.0 * np.arange(n), 3)
         assert out == pytest.approx(10.0 + 2.0 * np.arange(n, n + 3), abs=1e-6)
+
+
+def test_explosive_coefficients_are_drawn_in():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        beta = rng.normal(size=3)
+        for sign in (1, -1):
+            roots, new = np.roots([1.0, *(-sign * beta)]), np.roots([1.0, *(-sign * bounded(beta, sign))])
+            want = roots if np.abs(roots).max() <= 1 else roots * 0.98 / np.abs(roots).max()
+            assert np.poly(new) == pytest.approx(np.poly(want))
+    assert len(bounded(np.array([]), 1)) == 0
+    y = np.cumsum(np.cumsum(1.5 ** np.arange(14)) + rng.normal(size=14))
+    assert autoregression(y, 60).max() < 1000 * y.max()
