@@ -7,13 +7,19 @@ permutation, so equal values get equal pseudonyms in every document, and differe
 don't validate stay. Which texts are scanned is decided by a wider pattern, which every text with a value matches.
 
 Kinds: e-mail addresses (their local part), payment cards, IBANs, IPv4 addresses, telephone numbers, US social security numbers, dates
-(year-month-day, and day or month first with four-digit years), and secrets assigned to a name (``token = "..."``, hexadecimal).
+(year-month-day, and day or month first with four-digit years; every day of the years 1 to 9999), and secrets assigned to a name: hexadecimal ones of 32 digits or more
+in quotes (``token = "..."``), and others of 20 or more letters, digits and ``_+/.=~-`` with a letter and a digit, quoted or not (``api_key: sk_live_...``).
+
+What stays in clear: dates with two-digit years, without leading zeros or with names of months; telephone numbers of fewer than eight digits, or in layouts other than those below;
+secrets that no name such as token, secret, key, password or auth stands before, that are shorter, or that have no digit or no letter; the domain of an e-mail address, local parts in quotes or with
+other signs than ``._%+-`` (only what follows such a sign is replaced), and combining marks, numerals that aren't decimal digits and letters alone in their script's alphabet of one; names, streets and other free text.
 
 Nulls: a null text stays null and has nothing found; other columns are carried along whatever their names, except that results replace
 columns of their own names. Repeated rows are treated alike. An empty table gives an empty result. Very long texts are scanned whole, by patterns
 that don't backtrack over more than a value's length. No part of a value that has letters or digits to change comes back unchanged; a single one is moved by a keyed step.
 
-Telephone numbers are found with an area code in brackets, in groups of three, three and four digits with hyphens or points between, or after a plus sign.
+Telephone numbers are found with an area code in brackets, in groups of three, three and four digits with hyphens or points between, or with spaces where the area code and the next
+group begin with 2 to 9, after a leading 1, or after a plus sign, with or without a (0) after the country code. Validation of telephone numbers is by their length (and, with spaces, these digits) only.
 """
 
 from __future__ import annotations
@@ -21,6 +27,9 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import sys
+import unicodedata
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,26 +41,35 @@ ROUNDS = 8
 #: The key of the registered query, for reproducible results; a real run passes its own secret.
 QUERY_KEY = b"not a secret: the registered query's key"
 KINDS = ("email", "secret", "iban", "ip", "date", "ssn", "phone", "card")
-DAY_ONE, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049
+#: The two centuries from DAY_ONE on are permuted among themselves, and all other days of the calendar (years 1 to 9999) among themselves.
+DAY_ONE, DAYS, ALL_DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049, datetime.date.max.toordinal()
+#: Secrets are permuted in blocks of so many symbols.
+BLOCK = 128
 
 PATTERN = re.compile(
-    r"""(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
-    |(?P<secret>(?<=["'])[0-9A-Fa-f]{32,128}(?=["']))
+    r"""(?P<email>(?<![\w\u0300-\u036f.%+-])\w[\w\u0300-\u036f.%+-]{0,127}@(?:[\w\u0300-\u036f-]{1,63}\.){1,8}[^\W\d_]{2,24}(?![\w-]))
+    |(?P<assigned>(?:[Tt][Oo][Kk][Ee][Nn]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Kk][Ee][Yy]|[Pp][Aa][Ss][Ss][Ww][Oo]?[Rr]?[Dd]|[Pp][Ww][Dd]|[Aa][Uu][Tt][Hh])\w{0,20}["']?\s{0,3}[=:]\s{0,3}["']?(?P<assignee>[A-Za-z0-9_+/.=~-]{20,}+)(?!@))
+    |(?P<secret>(?<=["'])[0-9A-Fa-f]{32,}+(?=["']))
     |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
     |(?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d))
     |(?P<date>(?<![\d.\-/])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\d\-/]))
     |(?P<ssn>(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-]))
-    |(?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+.-])\d{3}-\d{3}-\d{4}(?![\d-])|(?<![\d+.-])\d{3}\.\d{3}\.\d{4}(?![\d.])|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
+    |(?P<phone>(?<![\d+.-])(?<!\d[ ])1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]|[ .]\d)|(?<![\d+.-])(?<!\d[ ])[2-9]\d\d[ ][2-9]\d\d[ ]\d{4}(?![\d-]|[ .]\d)|(?<![\d+])\+\d{1,3}[ .-]?\(0\)(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+.-])\d{3}-\d{3}-\d{4}(?![\d-])|(?<![\d+.-])\d{3}\.\d{3}\.\d{4}(?![\d.])|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
     |(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d))""",
     re.VERBOSE,
 )
 #: In every text that PATTERN matches, in Arrow's RE2, kind by kind: an e-mail address has @; a secret 32 hexadecimal digits; an IBAN its country,
-#: check digits and first group; an IP address digit, point, digit; a date, an SSN and a phone number with its area code in brackets four digits in
-#: a row; any other phone number + and a digit; a card 13 digits with at most one space or hyphen between two. \d in PATTERN is any script's digit (Nd).
-ANY_VALUE = r"@|[0-9A-Fa-f]{32}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|\p{Nd}\.\p{Nd}|\p{Nd}{4}|\+\p{Nd}|\p{Nd}(?:[ -]?\p{Nd}){12}"
+#: check digits and first group; an IP address digit, point, digit; a date, an SSN and a phone number without + four digits in
+#: a row; any other phone number + and a digit; an assigned secret a name and = or : soon after; a card 13 digits with at most one space or hyphen between two. \d in PATTERN is any script's digit (Nd).
+ANY_VALUE = r"@|[0-9A-Fa-f]{32}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|\p{Nd}\.\p{Nd}|\p{Nd}{4}|\+\p{Nd}|\p{Nd}(?:[ -]?\p{Nd}){12}|(?i:token|secret|key|passw|pwd|auth)[^=:]{0,30}[=:]"
+#: PATTERN without its first three kinds.
+OTHER = re.compile(PATTERN.pattern[PATTERN.pattern.index("(?P<iban>") :], re.VERBOSE)
 NEAR_SECRET = re.compile(r"(?i)(?:token|secret|key|password|passwd|pwd|auth)\w{0,20}\s{0,3}[=:]\s{0,3}[\"']$")
 
 
+DIGITS, ASCII_LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+
+
 class Feistel:
     """Keyed permutations of digit strings in any radix up to 36."""
 
@@ -136,11 +154,63 @@ def laid_out(shape: str, symbols: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
+def blocks(s: str, tweak: str, alphabet: str, feistel: Feistel) -> str:
+    """s permuted block by block, as a number of all its digits would cost time with their square."""
+    return "".join(feistel.string(s[i : i + BLOCK], f"{tweak}/{i}" if i else tweak, alphabet) for i in range(0, len(s), BLOCK))
+
+
+def small(c: str) -> str:
+    """The lower case of a letter if it's one letter that leads back."""
+    low = c.lower()
+    return low if len(low) == 1 and low.upper() == c else c
+
+
+def script(c: str) -> str:
+    """The first word of a letter's name, which tells its script."""
+    return unicodedata.name(c, "OTHER").split()[0]
+
+
+@cache
+def letters_of(name: str) -> str:
+    """The letters beyond ASCII of a script, without capitals, in the order of their codes; scripts of fewer than ten such letters share one alphabet, named OTHER."""
+    found: dict[str, list[str]] = {}
+    for code in range(128, sys.maxunicode + 1):
+        c = chr(code)
+        if c.isalpha() and small(c) == c:
+            found.setdefault(script(c), []).append(c)
+    if name != "OTHER":
+        return "".join(found.get(name, ())) if len(found.get(name, ())) >= 10 else ""
+    return "".join(sorted(c for n, x in found.items() if len(x) < 10 or n == "OTHER" for c in x))
+
+
+def local_part(local: str, domain: str, feistel: Feistel) -> str:
+    """The local part with its letters permuted script by script, and its digits; signs stay."""
+    classes: list[str] = []
+    for c in local:
+        if c in DIGITS:
+            classes.append("0")
+        elif c.isascii() and c.isalpha():
+            classes.append("a")
+        elif c.isalpha():
+            classes.append(script(c) if letters_of(script(c)) else "OTHER")
+        else:
+            classes.append("")
+    new = {}
+    for k in set(classes) - {""}:
+        alphabet = DIGITS if k == "0" else ASCII_LETTERS if k == "a" else letters_of(k)
+        new[k] = iter(feistel.string("".join(c if k == "0" else small(c) for c, of in zip(local, classes, strict=True) if of == k), f"email/{domain}/{k}", alphabet))
+    out = []
+    for c, k in zip(local, classes, strict=True):
+        x = next(new[k]) if k else c
+        out.append(x.upper() if k and small(c) != c and small(x.upper()) == x else x)
+    return "".join(out)
+
+
 def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
     """The pseudonym of a value, or None if it doesn't validate. Digits of any script count as the same ones of ASCII, which the pseudonym has."""
     if not value.isascii():
         value = "".join(str(int(c)) if c.isdecimal() else c for c in value)
-    digits = "".join(c for c in value if c.isdigit())
+    digits = "".join(c for c in value if c in DIGITS)
     if kind == "card":
         if not issued(digits) or check_digit(digits[:-1]) != digits[-1]:
             return None
@@ -151,9 +221,12 @@ def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
         if len(digits) < 8:
             return None
         # all layouts of a number, with its country code or (in the North American plan) without, share one permutation of what follows the code
-        code = country_code(digits) if value[0] == "+" else ""
+        at = value.find("(0)")
+        if at >= 0:  # the zero dialled at home is no part of the number
+            value, digits = value.replace("(0)", "(\0)"), "".join(c for c in value[:at] + value[at + 3 :] if c.isdigit())
+        code = country_code(digits) if value[0] == "+" else "1" if len(digits) == 11 and value[0] == "1" else ""
         own = feistel.string(digits[len(code) :], f"phone/{code or 1}")
-        return laid_out(value, code + own)
+        return laid_out(value, code + own).replace("\0", "0")
     if kind == "ip":
         octets = [int(x) for x in value.split(".")]
         if max(octets) > 255 or any(len(x) > 1 and x[0] == "0" for x in value.split(".")):
@@ -175,10 +248,12 @@ def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
                 day = datetime.date(*(int(parts[i]) for i in order)).toordinal() - DAY_ONE
             except ValueError:
                 continue
-            if not 0 <= day < DAYS:
-                return None
             # all layouts of a date share one permutation, so that they stay linked
-            new = datetime.date.fromordinal(DAY_ONE + feistel.below(day, DAYS, "date"))
+            if 0 <= day < DAYS:
+                new = datetime.date.fromordinal(DAY_ONE + feistel.below(day, DAYS, "date"))
+            else:  # ordinals without the two centuries, from 0
+                x = feistel.below(day + DAY_ONE - 1 if day < 0 else day + DAY_ONE - 1 - DAYS, ALL_DAYS - DAYS, "date/other")
+                new = datetime.date.fromordinal(x + 1 if x + 1 < DAY_ONE else x + 1 + DAYS)
             field = {0: f"{new.year:04d}", 1: f"{new.month:02d}", 2: f"{new.day:02d}"}
             return laid_out(value, "".join(field[order.index(i)] for i in range(3)))
         return None
@@ -192,14 +267,17 @@ def pseudonym(kind: str, value: str, feistel: Feistel) -> str | None:
         account = "".join(next(own) if c.isdigit() else next(named) for c in flat[4:])
         return laid_out(value, f"{flat[:2]}{98 - iban_number(flat[:2] + '00', account) % 97:02d}{account}")
     if kind == "secret":
-        return feistel.string(value.lower(), "secret", "0123456789abcdef") if not value.isupper() else feistel.string(value.lower(), "secret", "0123456789abcdef").upper()
+        new = blocks(value.lower(), "secret", "0123456789abcdef", feistel)
+        return new.upper() if value.isupper() else new
+    if kind == "assigned":
+        if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
+            return None
+        letters = iter(blocks("".join(c for c in value.lower() if c.isalpha()), "secret/a", ASCII_LETTERS, feistel))
+        own = iter(blocks(digits, "secret/0", "0123456789", feistel))
+        return "".join((next(letters).upper() if c.isupper() else next(letters)) if c.isalpha() else next(own) if c.isdigit() else c for c in value)
     if kind == "email":
         local, domain = value.rsplit("@", 1)
-        letters = feistel.string("".join(c for c in local.lower() if c.isalpha()), f"email/{domain.lower()}/a", "abcdefghijklmnopqrstuvwxyz")
-        own = feistel.string("".join(c for c in local if c.isdigit()), f"email/{domain.lower()}/0")
-        a, d = iter(letters), iter(own)
-        new = "".join((next(a).upper() if c.isupper() else next(a)) if c.isalpha() else next(d) if c.isdigit() else c for c in local)
-        return f"{new}@{domain}"
+        return f"{local_part(local, domain.lower(), feistel)}@{domain}"
     raise ValueError(kind)
 
 
@@ -211,7 +289,20 @@ def replaced(text: str, feistel: Feistel) -> tuple[str, dict[str, int]]:
         kind = m.lastgroup
         if kind == "secret" and not NEAR_SECRET.search(text, max(0, m.start() - 40), m.start()):
             return m[0]
-        new = pseudonym(kind, m[0], feistel)
+        if kind == "assigned":
+            value, kind = m["assignee"], "secret"
+            whole = OTHER.fullmatch(value)  # a value of another kind that stands after such a name stays linked to its like
+            new = pseudonym(whole.lastgroup, value, feistel) if whole else None
+            if new is not None:
+                kind = whole.lastgroup
+            else:
+                new = pseudonym("secret" if len(value) >= 32 and not value.strip("0123456789abcdefABCDEF") else "assigned", value, feistel)
+            if new is None:
+                new = OTHER.sub(one, value)
+                return m[0][: m.start("assignee") - m.start()] + new
+            new = m[0][: m.start("assignee") - m.start()] + new
+        else:
+            new = pseudonym(kind, m[0], feistel)
         if new is None:
             return m[0]
         found[kind] = found.get(kind, 0) + 1
