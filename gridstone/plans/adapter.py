@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import checkpointed
+
 LADDER = {f"Q{i:02d}": f"B{(i + 1) // 2}" for i in range(1, 11)}
 OLDEST = ("B4", "B5")
 PER_1000 = {"BUILDING": 400.0, "MACHINERY": 500.0, "AUTOMOBILE": 450.0}
@@ -34,10 +36,11 @@ def placed_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tidy_workers(spark: SparkSession, d: str) -> DataFrame:
-    """Lines counted by country, profession, year, sex and age; totals by grouping sets of the small cube."""
-    o = placed_orders(spark, d).select("o_orderkey", F.col("n_name").alias("geo"), F.col("c_mktsegment").alias("profession"), F.year("o_orderdate").cast("string").alias("time"))
-    lines = read(spark, d, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("sex"), F.format_string("Q%02d", F.ceil(F.col("l_quantity") / 5).cast("int")).alias("age"))
-    cube = lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("geo", "profession", "time", "sex", "age").agg(F.count(F.lit(1)).alias("value"))
+    """Lines counted by country, profession, year, sex and age; totals by grouping sets of the small cube, which also gets its texts after the counting."""
+    o = placed_orders(spark, d).select("o_orderkey", F.col("n_name").alias("geo"), F.col("c_mktsegment").alias("profession"), F.year("o_orderdate").alias("time"))
+    lines = read(spark, d, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("sex"), F.ceil(F.col("l_quantity") / 5).cast("int").alias("fives"))
+    cube = lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("geo", "profession", "time", "sex", "fives").agg(F.count(F.lit(1)).alias("value"))
+    cube = cube.select("geo", "profession", F.col("time").cast("string").alias("time"), "sex", F.format_string("Q%02d", "fives").alias("age"), "value")
     keys = ["geo", "profession", "time"]
     sets = [[*keys, *more] for more in (["sex", "age"], ["sex"], ["age"], [])]
     return cube.groupingSets(sets, "sex", "age", *keys).agg(F.sum("value").cast("double").alias("value")).select(*keys, F.coalesce("sex", F.lit("T")).alias("sex"), F.coalesce("age", F.lit("TOTAL")).alias("age"), "value")
@@ -49,9 +52,9 @@ def tidy_population(spark: SparkSession, d: str) -> DataFrame:
 
 def tidy_beds(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "supplier").join(F.broadcast(read(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("geo"))
-    lines = read(spark, d, "lineitem").select("l_partkey", "l_suppkey", F.year("l_shipdate").cast("string").alias("time"))
+    lines = read(spark, d, "lineitem").select("l_partkey", "l_suppkey", F.year("l_shipdate").alias("time"))
     rows = lines.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(read(spark, d, "part").select("p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
-    counts = rows.groupBy("geo", "time", F.col("p_type").alias("facility")).agg(F.sum("p_size").cast("double").alias("value"))
+    counts = rows.groupBy("geo", "time", F.col("p_type").alias("facility")).agg(F.sum("p_size").cast("double").alias("value")).withColumn("time", F.col("time").cast("string"))
     return counts.withColumn("unit", F.lit("NR")).unionByName(counts.withColumns({"unit": F.lit("HAB_P"), "value": F.col("value") / 1000}))
 
 
@@ -60,10 +63,10 @@ def facilities(spark: SparkSession) -> DataFrame:
 
 
 def regional(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The mixed-level table (two levels of codes, some rows missing) and the national totals by year."""
+    """The mixed-level table (two levels of codes, some rows missing) and the national totals by year. Both come from one small table of counts, kept, as level detection reads them many times."""
     o = placed_orders(spark, d).join(F.broadcast(read(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     o = o.select(F.col("r_name").alias("country_code"), F.col("c_mktsegment").alias("profession_code"), F.year("o_orderdate").alias("year"), "n_name", "n_nationkey", "o_orderstatus", "n_regionkey")
-    small = o.groupBy("country_code", "profession_code", "year", "n_name", "n_nationkey", "o_orderstatus", "n_regionkey").agg(F.count(F.lit(1)).alias("value"))
+    small = checkpointed(o.groupBy("country_code", "profession_code", "year", "n_name", "n_nationkey", "o_orderstatus", "n_regionkey").agg(F.count(F.lit(1)).alias("value")))
     keys = ["country_code", "profession_code", "year"]
     one = small.where("n_nationkey % 7 <> 0").groupBy(*keys, F.col("n_name").alias("region_code")).agg(F.sum("value").alias("value")).withColumn("region_level", F.lit(1))
     two = small.where("n_regionkey <> 2 or o_orderstatus <> 'F'").groupBy(*keys, F.concat_ws("-", "n_name", "o_orderstatus").alias("region_code")).agg(F.sum("value").alias("value")).withColumn("region_level", F.lit(2))

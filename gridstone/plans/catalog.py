@@ -53,13 +53,17 @@ def coverage(spark, d):
     return views.coverage_index(workers(spark, d), people(spark, d), "BUILDING", "HOUSEHOLD")
 
 
-def levels(spark, d):
-    rows, nat = A.regional(spark, d)
+def levels_of(rows, nat):
     return hierarchy.detect_level(rows.where(F.col("year") == A.ANCHOR), nat.where(F.col("year") == A.ANCHOR).drop("year"))
 
 
+def levels(spark, d):
+    return levels_of(*A.regional(spark, d))
+
+
 def regional(spark, d):
-    return hierarchy.at_reporting_level(A.regional(spark, d)[0], levels(spark, d))
+    rows, nat = A.regional(spark, d)
+    return hierarchy.at_reporting_level(rows, levels_of(rows, nat))
 
 
 # --- sources ------------------------------------------------------------------------------------------------------
@@ -122,12 +126,20 @@ query("f8_regional", "SELECT * FROM regional", R)(regional)
 
 @query("f3_indicators", "SELECT country_code, 'customers' AS indicator_code, 'T' AS sex_code, year, population::DOUBLE AS population, population::DOUBLE AS measure_value FROM people", P)
 def indicators(spark, d):
-    return facts.indicators(A.tidy_population(spark, d).withColumn("indicator", F.lit("customers")))
+    return indicators_of(A.tidy_population(spark, d))
+
+
+def indicators_of(tidy):
+    return facts.indicators(tidy.withColumn("indicator", F.lit("customers")))
 
 
 @query("f4_population_regions", "SELECT country_code || '-R' AS region_code, country_code, age_group_code, age_group_code IS NULL AS is_total, sex_code, year, sum(workers)::BIGINT AS population, sum(workers)::BIGINT AS measure_value FROM workers GROUP BY ALL", W)
 def population_regions(spark, d):
-    tidy = A.tidy_workers(spark, d).withColumn("geo", F.concat("geo", F.lit("-R")))
+    return population_regions_of(spark, A.tidy_workers(spark, d))
+
+
+def population_regions_of(spark, tidy):
+    tidy = tidy.withColumn("geo", F.concat("geo", F.lit("-R")))
     return facts.population_regions(tidy, A.ladder(spark), F.expr("substring(geo, 1, length(geo) - 2)"))
 
 

@@ -41,9 +41,9 @@ def star(spark: SparkSession, d: str) -> measures.Star:
     )
 
 
-def kept_star(spark: SparkSession, d: str) -> measures.Star:
-    """The star with each fact computed once: shortage and forecasts come from the kept workers, regions and people from the kept population."""
-    staff, folk = checkpointed(workers(spark, d)), checkpointed(people(spark, d))
+def kept_star(spark: SparkSession, d: str, staff: DataFrame | None = None, folk: DataFrame | None = None) -> measures.Star:
+    """The star with each fact computed once: shortage and forecasts come from the kept workers, regions and people from the kept population. Workers and population may be given."""
+    staff, folk = checkpointed(workers(spark, d) if staff is None else staff), checkpointed(people(spark, d) if folk is None else folk)
     short = facts.shortage(staff, folk, A.pairs(spark, A.PER_1000, "profession_code string, reference_per_1000 double"))
     ahead = forecast.forecast(views_panel(staff), ["country_code", "profession_code"], YEARS_AHEAD)
     ahead = ahead.select("country_code", "profession_code", F.col("period").alias("year"), F.col("trend").alias("forecast"), F.col("naive").alias("baseline_forecast"))

@@ -213,6 +213,52 @@ def test_integrity_from_declarations(spark):
     assert seen.value == len(rows)  # four checks, one pass
 
 
+def test_integrity_reads_a_dimension_once_and_apart_changes_nothing(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    fact = spark.createDataFrame([(1, 1, "1", None), (1, 2, "x", 7), (1, 2, "x", 7), (None, 9, None, 7), (None, 9, "1", 7)], "a long, b int, c string, d long")
+    ids = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int").mapInArrow(counted, "id int")
+    checks = [Relation("fact", "a", "ids", "id"), Relation("fact", "b", "ids", "id"), Relation("fact", "c", "ids", "id"), Relation("fact", "b", "texts", "id"), Grain("fact", ("b",)), Grain("fact", ("a", "b")), Grain("fact", ("b", "a")), Grain("fact", ("a", "d", "c"))]
+    tables = {"fact": fact, "ids": ids, "texts": spark.createDataFrame([("1",), ("9",)], "id string")}
+    want = [
+        ("fact.a -> ids.id", 0, None), ("fact.b -> ids.id", 2, "9"), ("fact.c -> ids.id", 2, "x"), ("fact.b -> texts.id", 2, "2"), ("fact by b", 2, '{"b":2}'), ("fact by a, b", 2, '{"a":1,"b":2}'),
+        ("fact by b, a", 2, '{"b":2,"a":1}'), ("fact by a, d, c", 1, '{"a":1,"d":7,"c":"x"}'),
+    ]
+    got = lambda **more: sorted(tuple(r) for r in integrity(tables, checks, **more).select("check", "rows", "bad", "detail").collect())
+    assert got() == sorted((name, 5, bad, detail) for name, bad, detail in want)
+    assert seen.value == 4  # three relations to it
+    assert got(apart=["fact"]) == got()
+
+
+def test_all_relations_read_their_tables_a_few_times(spark, monkeypatch):
+    from __spark_entry__ import SMOKE_DIR
+    from gridstone.plans import adapter, loads
+
+    seen, plain = {n: spark.sparkContext.accumulator(0) for n in ("orders", "lineitem", "customer")}, adapter.read
+
+    def read(session, d, name):
+        df = plain(session, d, name)
+        if name not in seen:
+            return df
+
+        def counted(batches):
+            for batch in batches:
+                seen[name].add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(counted, df.schema)
+
+    monkeypatch.setattr(adapter, "read", read)
+    assert loads.all_relations(spark, SMOKE_DIR).count() == len(loads.CHECKS)
+    passes = {n: a.value / plain(spark, SMOKE_DIR, n).count() for n, a in seen.items()}
+    assert passes["customer"] <= 3 and passes["orders"] <= 5 and passes["lineitem"] <= 7, passes  # lines: workers, beds, sexes and their four checks
+
+
 # --- views --------------------------------------------------------------------------------------------------------
 
 
