@@ -32,7 +32,7 @@ UNIT = Unit(words=True, n=PHRASE, k=8)
 
 def factors(docs: DataFrame, unit: Unit = UNIT) -> DataFrame:
     """doc_id and runs: its factors (start, windows, source_doc, source_start) in words, windows being the phrases that begin in one."""
-    found = resolved(all_windows(docs, unit), earlier_only=True)
+    found = resolved(all_windows(docs, unit), unit, earlier_only=True)
     return checkpointed(found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "windows", "source_doc", "source_start"))).alias("runs")))
 
 

@@ -168,6 +168,20 @@ def test_suffix_dedup_of_a_passage_in_a_third_of_all_documents(spark):
         assert sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in got) == expected
 
 
+def test_different_windows_of_one_gram_are_told_apart(spark):
+    """Windows of 400 bytes and of 20 words that share the gram they meet by and whose hashes agree in the upper 32 bits. No two are equal, so nothing goes."""
+    rng = random.Random(3)
+    head, words = "".join(rng.choice("abcdefgh") for _ in range(392)), " ".join(f"w{i}" for i in range(19))
+    ends = [377462, 395589, 121139, 198143, 15671, 35572]
+    docs = spark.createDataFrame([(i, f"{head}{x:08d}") for i, x in enumerate(ends)], "doc_id long, text string").repartition(3)
+    got = suffix_dedup.kept_bytes(docs, suffix_dedup.repeated_ranges(docs)).collect()
+    assert [r.n_removed for r in got] == [0] * len(ends)
+    ends = [282313, 285567, 184917, 365213, 226170, 256461]
+    docs = spark.createDataFrame([(i, f"{words} {x}") for i, x in enumerate(ends)], "doc_id long, text string").repartition(3)
+    got = substring_dedup.kept_words(docs, substring_dedup.factors(docs)).collect()
+    assert [r.n_removed for r in got] == [0] * len(ends)
+
+
 def test_line_dedup(docs, corpus):
     run, seen, want = line_dedup.RUN_LINES, {}, {}
     for i, t in texts_of(corpus):
